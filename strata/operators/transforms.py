@@ -207,6 +207,7 @@ class _Compiler:
         keep = self.list("keep")
         if self.raw:
             keys = _mentioned(self.transforms, self.columns)
+            self.checks.append(("malformed", F.col(ROW).isNull()))
             found = {k: ct.Json(F.col(ROW), _path(k)) for k in keys if not keep or k in keep}
             self.fields = {k: _Field(v.variant, T.VariantType(), v.present, v) for k, v in found.items()}
         else:
@@ -378,7 +379,8 @@ class _Compiler:
         if len({n.lower() for n in names}) != len(names):
             raise SpecError("output columns differ only by case")
         if self.raw:
-            source = F.to_json(ROW)
+            # The line itself where it could not be parsed.
+            source = F.coalesce(F.to_json(ROW), F.col("value")) if "value" in self.df.columns else F.to_json(ROW)
         else:
             own = [c for c in self.df.columns if not c.startswith("_s") and c not in self.carry and c != self.params_col]
             source = F.to_json(F.struct(*[F.col(f"`{c}`") for c in own]), {"ignoreNullFields": "false"}) if own else F.lit("{}")
@@ -390,7 +392,8 @@ class _Compiler:
         ]
         if flags and self.raw:
             # Computed once, or else the filters on the flags would repeat every conversion.
-            df = self.df.select(ROW, F.explode(F.array(F.struct(*output))).alias("_out"))
+            text = ["value"] if "value" in self.df.columns else []
+            df = self.df.select(ROW, *text, F.explode(F.array(F.struct(*output))).alias("_out"))
             df = df.select("_out.*", source.alias("_input"))
         else:
             df = self.df.select(*output, source.alias("_input"))
@@ -419,7 +422,7 @@ def check_rows(
         check_transforms(transforms, strict=False)
     if carry is None:
         is_raw = ROW in df.columns
-        carry = [c for c in df.columns if is_raw and c not in (ROW, params_col)]
+        carry = [c for c in df.columns if is_raw and c not in (ROW, "value", params_col)]
     compiler = _Compiler(df, transforms, columns, params, params_col, tuple(carry), logical_types)
     compiler.read()
     compiler.rename()
