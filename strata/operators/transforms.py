@@ -85,6 +85,10 @@ class Checked:
     def accepted(self) -> DataFrame:
         return self.df.where(~self.bad()).select(*self._output())
 
+    def flagged(self) -> DataFrame:
+        """All rows, each with its reasons; none for a good row."""
+        return self.df.select(*self._output(), self.reasons().alias("reasons"))
+
     def rejected(self) -> DataFrame:
         """Bad rows: carried columns, the input row as JSON text, and every reason."""
         keep = [F.col(f"`{c}`") for c in self.carry]
