@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import text as tx
 from strata.functions import times as tm
+from strata.functions.frames import once
 
 DEFAULT_LIMIT = 1000
 WINDOW_MINUTES = 60
@@ -47,7 +48,7 @@ def plan_hourly(
         F.col("params"),
         {"date": F.col("date"), "hour": tx.zero_pad(F.col("_hour")), "endpoint": F.col("endpoint")},
     )
-    return hourly.select("source", "entity", params.alias("params"))
+    return once(hourly, "params", params).select("source", "entity", "params")
 
 
 def requests_with_contract(requests: DataFrame, datasets: DataFrame) -> DataFrame:
@@ -85,10 +86,13 @@ def fill_defaults(
         F.lit("end_ms"), F.when(derives & _filled(params, "end_ms").isNull(), end.cast("string")),
     )
     new = F.map_filter(new, lambda _, v: v.isNotNull())
-    staged = requests.withColumn("_new", new)
+    # Both maps are read many times from here on, also inside lambdas and by the filters of the
+    # validation, so each is computed once.
+    staged = once(requests, "_new", new)
     kept = F.map_filter(params, lambda k, _: ~F.map_contains_key(F.col("_new"), k))
     reason = F.when(derives & start.isNull(), F.lit("date and hour do not name an hour"))
-    return staged.withColumn("window_reason", reason).withColumn("params", F.map_concat(kept, F.col("_new"))).drop("_new")
+    staged = staged.withColumn("window_reason", reason)
+    return once(staged, "params", F.map_concat(kept, F.col("_new"))).drop("_new")
 
 
 def default_run_id(source: Column, entity: Column, params: Column, now: str | Column) -> Column:
@@ -144,7 +148,7 @@ def with_reasons(requests: DataFrame) -> DataFrame:
         _listing("missing placeholders: ", missing_params(F.col("placeholders"), params)),
     ]
     checks += [F.col(c) for c in ("contract_reason", "window_reason") if c in requests.columns]
-    return requests.withColumn("reasons", F.array_compact(F.array(*checks)))
+    return once(requests, "reasons", F.array_compact(F.array(*checks)))
 
 
 def validate_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -212,9 +212,9 @@ def _lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LINE_LOG = """
     WITH log AS (
-      SELECT l_orderkey, l_linenumber AS at, CASE l_linenumber WHEN 1 THEN 'REQUESTED' WHEN 3 THEN 'BRONZE_WRITTEN'
+      SELECT l_orderkey, l_linenumber AS moment, CASE l_linenumber WHEN 1 THEN 'REQUESTED' WHEN 3 THEN 'BRONZE_WRITTEN'
              WHEN 5 THEN 'SILVER_WRITTEN' WHEN 7 THEN 'FAILED' END AS status FROM lineitem WHERE l_linenumber IN (1, 3, 5, 7)),
-    state AS (SELECT l_orderkey, max_by(status, at) AS status FROM log GROUP BY 1)
+    state AS (SELECT l_orderkey, max_by(status, moment) AS status FROM log GROUP BY 1)
 """
 
 
@@ -259,7 +259,7 @@ def _artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RECONCILED = (
     _LINE_LOG
     + """,
-    marks AS (SELECT l_orderkey, bool_or(at IN (3, 5)) AS b, bool_or(at = 5) AS s FROM log GROUP BY 1),
+    marks AS (SELECT l_orderkey, bool_or(moment IN (3, 5)) AS b, bool_or(moment = 5) AS s FROM log GROUP BY 1),
     joined AS (
       SELECT o_orderkey, o_orderstatus, status,
              coalesce(b, false) AND o_totalprice < 200000 AS bronze_ok,
@@ -314,7 +314,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _EVENT_LOG = """
     WITH log AS (
-      SELECT CAST(user_id AS VARCHAR) AS run_id, event_id, epoch_ms(ts) AS at_ms,
+      SELECT CAST(user_id AS VARCHAR) AS run_id, event_id, epoch_us(ts) // 1000 AS at_ms,
              CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 ELSE 1 END AS rank,
              CASE event_type WHEN 'signup' THEN 'REQUESTED' WHEN 'purchase' THEN 'SILVER_WRITTEN'
                   WHEN 'error' THEN 'FAILED' ELSE 'BRONZE_WRITTEN' END AS status,

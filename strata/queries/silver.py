@@ -28,7 +28,8 @@ def schema_of(entity: str, columns: dict[str, str], transforms: dict[str, Any],
                 "transforms": transforms,
                 "partitioning": partitioning,
             },
-        }
+        },
+        strict=False,
     )
 
 
@@ -162,7 +163,7 @@ def silver_cast_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, epoch_ms(ts) AS ms, CAST(epoch_ms(ts) // 1000 AS BIGINT) AS s,
+    SELECT event_id, epoch_us(ts) // 1000 AS ms, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s,
            strftime(ts, '%Y-%m-%d %H:%M:%S') AS logical_s
     FROM events
     """
@@ -360,7 +361,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id AS id, epoch_ms(ts) AS at_ms, user_id AS "user",
+    SELECT event_id AS id, epoch_us(ts) // 1000 AS at_ms, user_id AS "user",
            CASE WHEN event_type = 'error' THEN 'unknown' ELSE event_type END AS kind,
            value AS amount, event_id % 2 = 0 AS flagged, 'web' AS channel, '2024-01-05' AS dt,
            upper(event_type) AS kind_copy, '-' AS note
@@ -388,7 +389,7 @@ def unique_key_violations_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, epoch_ms(ts) AS at_ms, user_id, event_type, value, props FROM (
+    SELECT event_id, epoch_us(ts) // 1000 AS at_ms, user_id, event_type, value, props FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events
     ) WHERE n = 1
     """

@@ -28,14 +28,15 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(
         F.lit("web").alias("source"), F.lit("events").alias("entity"),
         F.concat(F.lit("run-"), F.col("event_type")).alias("run_id"),
-        F.when(bad, F.concat(good, F.lit(" x"))).otherwise(good).alias("payload"), "ts",
+        F.when(bad, F.concat(good, F.lit(" x"))).otherwise(good).alias("payload"),
+        F.col("ts").cast("date").cast("timestamp_ntz").alias("day"),
     )
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     base = work_dir(spark, "stream")
     landing = stream_bronze(
-        _messages(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint-bronze", "ts",
+        _messages(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint-bronze", "day", cluster=True,
         log_path=f"{base}/log", quarantine=f"{base}/quarantine-bronze",
     )
     landing.awaitTermination()

@@ -11,22 +11,13 @@ from pyspark.sql import functions as F
 
 from strata.functions import text as tx
 from strata.functions import times as tm
+from strata.functions.frames import once
 
 BRONZE_PARTITIONS = ("source", "entity", "ingestion_dt", "ingestion_hr", "run_id")
 _END = "end of text"
 _JSON_SPACE = " \t\r\n"
 
 
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a costly column so that filters on it do not compute it again below.
-
-    Spark pushes a filter through a projection by repeating the expression; a generator of exactly
-    one row stops that.
-    """
-    others = [F.col(f"`{c}`") for c in df.columns if c != name]
-    return df.select(*others, F.explode(F.array(value)).alias(name))
-
-
 def _last_of_each_key(entries: Column) -> Column:
     def repeated_later(entry: Column, i: Column) -> Column:
         return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == entry["key"])

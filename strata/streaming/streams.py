@@ -47,16 +47,20 @@ def stream_bronze(
     mapping_columns: Sequence[str] | None = None,
     log_path: str | None = None,
     quarantine: str | None = None,
+    cluster: bool = False,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Land a stream of messages with source, entity, run_id, payload and a timestamp."""
+    """Land a stream of messages with source, entity, run_id, payload and a timestamp.
+
+    Set ``cluster`` where the rows of a run come in many messages.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
-            write_bronze(good.withColumn(BATCH, F.lit(str(batch_id))), base, extra_partitions=[BATCH])
+            write_bronze(good.withColumn(BATCH, F.lit(str(batch_id))), base, cluster, extra_partitions=[BATCH])
             bad = rows.where(F.col("error").isNotNull())
             if quarantine is not None:
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
