@@ -5,36 +5,53 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.casts import Json
+from strata.functions.frames import once
 from strata.plans.spec import MAPPING_TYPE, SpecError
-from strata.sources.bronze import explode_payload
+from strata.sources.bronze import explode_payload, payload_values
 
+_CELLS = "array<variant>"
 
-def map_items(items: DataFrame, columns: Sequence[str], row: str = "row") -> DataFrame:
-    """Turn array items into objects; ``error`` says why an item could not be turned.
+
+def _cells(payload: Column) -> Column:
+    """A payload as a list of cell lists, with null for an item that is not a list.
+
+    The first form reads a payload of nothing but lists in one step; it is null for any other,
+    which then is taken apart item by item.
+    """
+    whole = F.from_json(
+        F.concat(F.lit("["), payload, F.lit(",[]]")), f"array<array<{_CELLS}>>", {"allowSingleQuotes": "false"}
+    )
+    fast = F.when(F.size(whole) == 2, F.get(whole, 0))
+    by_item = F.transform(payload_values(payload), lambda item: F.try_variant_get(item, "$", _CELLS))
+    return F.coalesce(fast, by_item)
+
+
+def mapped_items(df: DataFrame, payload: str, columns: Sequence[str]) -> DataFrame:
+    """Explode payloads of positional arrays into objects; ``error`` says why an item is none.
 
     An item needs at least as many values as there are columns; further values are dropped.
     """
     if not columns:
         raise SpecError("array_to_object needs columns")
-    value = F.col(row)
-    # For a repeated name the last position counts.
-    position = {name: i for i, name in enumerate(columns)}
-    named = F.named_struct(
-        *[x for name, i in position.items() for x in (F.lit(name), F.try_variant_get(value, f"$[{i}]", "variant"))]
+    listed = once(df, "_cells", _cells(F.col(payload)))
+    none = F.array(F.lit(None).cast(_CELLS))
+    items = listed.select(
+        *df.columns, F.col("_cells").isNotNull().alias("_json"), F.posexplode(F.coalesce("_cells", none)).alias("pos", "_item")
     )
-    long_enough = F.try_variant_get(value, f"$[{len(columns) - 1}]", "variant").isNotNull()
+    size = F.size("_item")
     error = (
-        F.when(value.isNull(), F.lit("payload is not JSON"))
-        .when(~Json(value).kind.startswith("ARRAY"), F.concat(F.lit("not a list: "), F.col("pos")))
-        .otherwise(F.concat(F.lit("too short: "), F.col("pos")))
-    )
-    return items.withColumns({"error": F.when(~F.coalesce(long_enough, F.lit(False)), error)}).withColumn(
-        row, F.when(long_enough, F.to_variant_object(named))
+        F.when(~F.col("_json"), F.lit("payload is not JSON"))
+        .when(F.col("_item").isNull(), F.concat(F.lit("not a list: "), F.col("pos")))
+        .when(size < len(columns), F.concat(F.lit("too short: "), F.col("pos")))
     )
+    # For a repeated name the last position counts.
+    position = {name: i for i, name in enumerate(columns)}
+    cells = [x for name, i in position.items() for x in (F.lit(name), F.get("_item", i))]
+    row = F.when(size >= len(columns), F.to_variant_object(F.named_struct(*cells)))
+    return items.withColumns({"row": row, "error": error}).drop("_json", "_item")
 
 
 def array_to_object(
@@ -44,10 +61,10 @@ def array_to_object(
 
     Fails the job on a bad item, or with ``on_error="quarantine"`` returns rows and rejects.
     """
-    mapped = map_items(explode_payload(df, payload, on_error), columns)
+    mapped = mapped_items(df, payload, columns)
     if on_error == "fail":
         ok = F.assert_true(F.col("error").isNull(), F.col("error"))
-        return mapped.where(ok.isNull()).drop("error")
+        return mapped.where(ok.isNull()).drop("error", payload)
     good = mapped.where(F.col("error").isNull()).drop("error", payload)
     return good, mapped.where(F.col("error").isNotNull()).drop("row")
 

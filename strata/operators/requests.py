@@ -79,20 +79,26 @@ def fill_defaults(
     needs_end = asked("end_ms", "placeholders", "required") & _filled(params, "end_ms").isNull()
     date, hour = _filled(params, "date"), _filled(params, "hour")
     derives = (needs_start | needs_end) & date.isNotNull() & hour.isNotNull()
-    start, end = tm.window_ms(date, hour, window_minutes)
+    # Everything read from the map comes first and once; lambdas and filters below only see columns.
+    derived = F.struct(
+        needs_limit.alias("limit"),
+        derives.alias("derives"),
+        _filled(params, "start_ms").isNull().alias("no_start"),
+        _filled(params, "end_ms").isNull().alias("no_end"),
+        F.when(derives, tm.window_start_ms(date, hour)).alias("start"),
+    )
+    staged = once(requests, "_d", derived)
+    d = {name: F.col(f"_d.{name}") for name in ("limit", "derives", "no_start", "no_end", "start")}
     new = F.create_map(
-        F.lit("limit"), F.when(needs_limit, F.lit(str(default_limit))),
-        F.lit("start_ms"), F.when(derives & _filled(params, "start_ms").isNull(), start.cast("string")),
-        F.lit("end_ms"), F.when(derives & _filled(params, "end_ms").isNull(), end.cast("string")),
+        F.lit("limit"), F.when(d["limit"], F.lit(str(default_limit))),
+        F.lit("start_ms"), F.when(d["no_start"], d["start"].cast("string")),
+        F.lit("end_ms"), F.when(d["no_end"], (d["start"] + window_minutes * 60_000).cast("string")),
     )
-    new = F.map_filter(new, lambda _, v: v.isNotNull())
-    # Both maps are read many times from here on, also inside lambdas and by the filters of the
-    # validation, so each is computed once.
-    staged = once(requests, "_new", new)
+    staged = once(staged, "_new", F.map_filter(new, lambda _, v: v.isNotNull()))
     kept = F.map_filter(params, lambda k, _: ~F.map_contains_key(F.col("_new"), k))
-    reason = F.when(derives & start.isNull(), F.lit("date and hour do not name an hour"))
+    reason = F.when(d["derives"] & d["start"].isNull(), F.lit("date and hour do not name an hour"))
     staged = staged.withColumn("window_reason", reason)
-    return once(staged, "params", F.map_concat(kept, F.col("_new"))).drop("_new")
+    return once(staged, "params", F.map_concat(kept, F.col("_new"))).drop("_d", "_new")
 
 
 def default_run_id(source: Column, entity: Column, params: Column, now: str | Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from strata.operators import runs as rn
-from strata.operators.mapping import map_items
+from strata.operators.mapping import mapped_items
 from strata.operators.transforms import check_rows
 from strata.plans.spec import Dataset, Schema
 from strata.sinks.layers import write_bronze, write_quarantine, write_silver
@@ -45,10 +45,10 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 
 def payload_rows(payloads: DataFrame, mapping_columns: Sequence[str] | None = None) -> DataFrame:
     """Payload items, mapped to objects where the contract says so, with ``error`` for bad ones."""
+    if mapping_columns is not None:
+        return mapped_items(payloads, "payload", mapping_columns)
     items = explode_payload(payloads, "payload", "quarantine")
-    if mapping_columns is None:
-        return items.withColumn("error", F.when(F.col("row").isNull(), F.lit("payload is not JSON")))
-    return map_items(items, mapping_columns)
+    return items.withColumn("error", F.when(F.col("row").isNull(), F.lit("payload is not JSON")))
 
 
 def land_bronze(
@@ -67,22 +67,20 @@ def land_bronze(
     """
     at_ms = at_ms or now_ms()
     todo = rn.pending_runs(payloads, read_run_log(spark, log_path), "bronze")
-    observed = Observation()
-    checked = payload_rows(todo, mapping_columns).observe(
-        observed, F.count_if(F.col("error").isNotNull()).alias("bad")
-    )
-    bad = None
+    rows = payload_rows(todo, mapping_columns)
+    good = rows.where(F.col("error").isNull())
     if mapping_columns is None:
-        # A payload is bad as a whole, so none of its rows is written.
-        good = checked.where(F.col("error").isNull())
+        # A payload is good or bad as a whole, so bad ones can be logged after the write.
+        observed = Observation()
+        counted = rows.observe(observed, F.count_if(F.col("error").isNotNull()).alias("bad"))
+        good = counted.where(F.col("error").isNull())
+        bad = None
     else:
-        bad = _log_bad_payloads(spark, payload_rows(todo, mapping_columns), log_path, at_ms)
-        good = checked.where(F.col("error").isNull())
+        bad = _log_bad_payloads(spark, rows, log_path, at_ms)
         good = good.join(bad, list(RUN_KEY), "left_anti")
-    placed = with_ingestion_partitions(good.drop("error", "payload"), ingested_at)
-    write_bronze(placed, base)
+    write_bronze(with_ingestion_partitions(good.drop("error", "payload"), ingested_at), base)
     if bad is None and observed.get["bad"]:
-        bad = _log_bad_payloads(spark, payload_rows(todo), log_path, at_ms)
+        bad = _log_bad_payloads(spark, rows, log_path, at_ms)
     done = todo if bad is None else todo.join(bad, list(RUN_KEY), "left_anti")
     append_run_log(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path)
 

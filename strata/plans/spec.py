@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.casts import LOGICAL_TYPES
@@ -238,23 +239,31 @@ def load_dataset(spark: SparkSession, contract_path: str, schema_path: str, stri
     )
 
 
-DATASETS_DDL = (
-    "source string, entity string, contract_id string, version int, required array<string>, "
-    "optional array<string>, placeholders array<string>, query map<string,string>, has_schema boolean"
-)
+_TEXTS = pa.list_(pa.string())
+_DATASETS = pa.schema(
+    [
+        ("source", pa.string()), ("entity", pa.string()), ("contract_id", pa.string()), ("version", pa.int32()),
+        ("required", _TEXTS), ("optional", _TEXTS), ("placeholders", _TEXTS),
+        ("query", pa.map_(pa.string(), pa.string())), ("has_schema", pa.bool_()),
+    ]
+)
 
 
 def datasets_frame(
     spark: SparkSession, contracts: list[Contract], schemas: list[Schema] | None = None
 ) -> DataFrame:
-    """The known datasets as rows. A local relation: its size is known to the join planner."""
+    """The known datasets as rows.
+
+    Made from Arrow, so that it is a local relation whose size the join planner knows.
+    """
     shaped = None if schemas is None else {(s.source, s.entity) for s in schemas}
     rows = [
-        (
-            c.source, c.entity, c.id, c.version, sorted(c.required), sorted(c.optional), list(c.placeholders),
-            {k: None if v is None else str(v) for k, v in c.query.items()},
-            shaped is None or (c.source, c.entity) in shaped,
-        )
+        {
+            "source": c.source, "entity": c.entity, "contract_id": c.id, "version": c.version,
+            "required": sorted(c.required), "optional": sorted(c.optional), "placeholders": list(c.placeholders),
+            "query": [(k, None if v is None else str(v)) for k, v in c.query.items()],
+            "has_schema": shaped is None or (c.source, c.entity) in shaped,
+        }
         for c in contracts
     ]
-    return spark.createDataFrame(rows, DATASETS_DDL)
+    return spark.createDataFrame(pa.Table.from_pylist(rows, _DATASETS))

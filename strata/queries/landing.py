@@ -10,7 +10,7 @@ from strata.plans.workspace import work_dir
 from strata.queries.registry import query, table
 from strata.sinks.layers import write_bronze
 from strata.sources.bronze import explode_payload, parse_lines, read_bronze, with_ingestion_partitions
-from strata.sources.files import build_manifest, config_inventory, inventory_row, text_manifest
+from strata.sources.files import build_manifest, config_inventory, folder_value, inventory_row, text_manifest
 
 
 def _field(name: str, sql_type: str):
@@ -198,10 +198,9 @@ def config_inventory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*inventory_row(F.col("doc_id"), F.col("text")))
 
 
-@query()
+@query("SELECT 'r+' || c_mktsegment AS run_id, true AS digested FROM customer GROUP BY c_mktsegment")
 def config_inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size and digest of the table files themselves."""
-    files = config_inventory(spark, f"{sf_dir}/nation.parquet").unionByName(
-        config_inventory(spark, f"{sf_dir}/region.parquet")
-    )
-    return files.withColumn("path", F.substring_index("path", "/", -1))
+    """Size and digest of every written bronze file, by run."""
+    files = config_inventory(spark, _land_customers(spark, sf_dir), "*.txt")
+    digested = F.bool_and((F.length("sha256_12") == 12) & (F.col("size_kb") > 0))
+    return files.groupBy(folder_value(F.col("path"), "run_id").alias("run_id")).agg(digested.alias("digested"))

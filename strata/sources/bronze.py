@@ -89,7 +89,7 @@ def read_bronze(
     return parsed.where(ok.isNull()).drop("value")
 
 
-def _payload_items(payload: Column) -> Column:
+def payload_values(payload: Column) -> Column:
     """A payload as an array of VARIANT: the items of a list, or the one value of anything else."""
     listed = F.from_json(
         F.concat(F.lit("["), payload, F.lit(f',"{_END}"]')), "array<variant>", {"allowSingleQuotes": "false"}
@@ -102,7 +102,7 @@ def _payload_items(payload: Column) -> Column:
 
 def payload_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``items``, null where the payload is not JSON."""
-    return once(df, "items", _payload_items(F.col(payload)))
+    return once(df, "items", payload_values(F.col(payload)))
 
 
 def explode_payload(df: DataFrame, payload: str = "payload", on_error: str = "fail") -> DataFrame:
