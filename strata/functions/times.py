@@ -18,12 +18,18 @@ def utc_ntz(ts: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"not a timestamp: {dtype.simpleString()}")
 
 
-def epoch_ms(ntz: Column) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), ntz)
+def epoch_s(ntz: Column) -> Column:
+    """Whole seconds since 1970, from the parts of the wall-clock time.
 
+    Spark's timestamp difference would read both ends in the session zone and count its clock changes.
+    """
+    day = F.unix_date(ntz.cast("date")).cast("bigint")
+    return day * 86_400 + F.hour(ntz) * 3_600 + F.minute(ntz) * 60 + F.second(ntz)
 
-def epoch_s(ntz: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(EPOCH), ntz)
+
+def epoch_ms(ntz: Column) -> Column:
+    fraction = F.date_part(F.lit("SECOND"), ntz) - F.second(ntz)
+    return epoch_s(ntz) * 1_000 + F.floor(fraction * 1_000).cast("bigint")
 
 
 def day_text(ntz: Column) -> Column:

@@ -63,8 +63,8 @@ def array_to_object(
     """
     mapped = mapped_items(df, payload, columns)
     if on_error == "fail":
-        ok = F.assert_true(F.col("error").isNull(), F.col("error"))
-        return mapped.where(ok.isNull()).drop("error", payload)
+        checked = F.when(F.col("error").isNull(), F.col("row")).otherwise(F.raise_error(F.col("error")))
+        return once(mapped, "row", checked).drop("error", payload)
     good = mapped.where(F.col("error").isNull()).drop("error", payload)
     return good, mapped.where(F.col("error").isNotNull()).drop("row")
 

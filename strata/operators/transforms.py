@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,8 @@ from strata.functions import text as tx
 from strata.plans.spec import Schema, SpecError, check_transforms
 
 ROW = "row"
+# Where a checked row keeps what it was made from.
+_INPUT = ("_row", "_line")
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,7 @@ class Checked:
     columns: tuple[str, ...]
     carry: tuple[str, ...]
     checks: tuple[tuple[str, str], ...]  # (reason, flag column)
+    costly: bool = False  # whether filters on the flags must not repeat the conversions
 
     def bad(self) -> Column:
         return reduce(Column.__or__, [F.col(flag) for _, flag in self.checks], F.lit(False))
@@ -72,27 +75,47 @@ class Checked:
     def _output(self) -> list[Column]:
         return [F.col(f"`{c}`") for c in (*self.carry, *self.columns)]
 
+    def settled(self) -> Checked:
+        """The same rows, computed in one place."""
+        if not (self.costly and self.checks):
+            return self
+        rest = [c for c in self.df.columns if c not in _INPUT]
+        packed = self.df.select(*_INPUT, F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in rest]))).alias("_out"))
+        return replace(self, df=packed.select(*_INPUT, "_out.*"), costly=False)
+
+    def observed(self, observation: Observation) -> Checked:
+        """The same rows, with the number of bad ones left in ``observation`` as ``bad``."""
+        settled = self.settled()
+        counted = settled.df.observe(observation, F.count_if(self.bad()).alias("bad"))
+        return replace(settled, df=counted)
+
     def enforced(self) -> DataFrame:
         """All rows; the job fails on the first bad one.
 
-        The check is a filter, since one in a projected column goes when that column is not used.
+        The check sits in the generator that yields the row: in a projected column it would go when
+        that column is not used, and in a filter it would come after filters on null-ness.
         """
         if not self.checks:
             return self.df.select(*self._output())
-        ok = F.assert_true(~self.bad(), F.concat(F.lit("rejected row: "), F.array_join(self.reasons(), ", ")))
-        return self.df.where(ok.isNull()).select(*self._output())
+        error = F.raise_error(F.concat(F.lit("rejected row: "), F.array_join(self.reasons(), ", ")))
+        row = F.when(self.bad(), error).otherwise(F.struct(*self._output()))
+        return self.df.select(F.explode(F.array(row)).alias("_out")).select("_out.*")
 
     def accepted(self) -> DataFrame:
-        return self.df.where(~self.bad()).select(*self._output())
+        settled = self.settled()
+        return settled.df.where(~self.bad()).select(*self._output())
 
     def flagged(self) -> DataFrame:
         """All rows, each with its reasons; none for a good row."""
-        return self.df.select(*self._output(), self.reasons().alias("reasons"))
+        return self.settled().df.select(*self._output(), self.reasons().alias("reasons"))
 
     def rejected(self) -> DataFrame:
         """Bad rows: carried columns, the input row as JSON text, and every reason."""
         keep = [F.col(f"`{c}`") for c in self.carry]
-        return self.df.where(self.bad()).select(*keep, F.col("_input").alias("input"), self.reasons().alias("reasons"))
+        bad = self.settled().df.where(self.bad())
+        # The line itself where it could not be parsed.
+        text = F.coalesce(F.to_json("_row"), F.col("_line")).alias("input")
+        return bad.select(*keep, text, self.reasons().alias("reasons"))
 
 
 def _path(key: str) -> str:
@@ -383,25 +406,20 @@ class _Compiler:
         if len({n.lower() for n in names}) != len(names):
             raise SpecError("output columns differ only by case")
         if self.raw:
-            # The line itself where it could not be parsed.
-            source = F.coalesce(F.to_json(ROW), F.col("value")) if "value" in self.df.columns else F.to_json(ROW)
+            source = F.col(ROW)
         else:
             own = [c for c in self.df.columns if not c.startswith("_s") and c not in self.carry and c != self.params_col]
-            source = F.to_json(F.struct(*[F.col(f"`{c}`") for c in own]), {"ignoreNullFields": "false"}) if own else F.lit("{}")
+            source = F.struct(*[F.col(f"`{c}`") for c in own])
+        line = F.col("value") if self.raw and "value" in self.df.columns else F.lit(None)
         flags = [(reason, f"_bad_{i}") for i, (reason, _) in enumerate(self.checks)]
-        output = [
+        df = self.df.select(
+            source.alias("_row"),
+            line.cast("string").alias("_line"),
             *[F.col(f"`{c}`") for c in self.carry],
             *[self.fields[n].value.alias(n) for n in names],
             *[bad.alias(flag) for (_, bad), (_, flag) in zip(self.checks, flags)],
-        ]
-        if flags and self.raw:
-            # Computed once, or else the filters on the flags would repeat every conversion.
-            text = ["value"] if "value" in self.df.columns else []
-            df = self.df.select(ROW, *text, F.explode(F.array(F.struct(*output))).alias("_out"))
-            df = df.select("_out.*", source.alias("_input"))
-        else:
-            df = self.df.select(*output, source.alias("_input"))
-        return Checked(df, tuple(names), self.carry, tuple(flags))
+        )
+        return Checked(df, tuple(names), self.carry, tuple(flags), costly=self.raw)
 
 
 def check_rows(

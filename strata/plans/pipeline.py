@@ -142,8 +142,7 @@ def run_silver(
             good = checked.accepted().join(_failed_at(spark, log_path, at_ms), list(RUN_KEY), "left_anti")
         else:
             observed = Observation()
-            counted = checked.df.observe(observed, F.count_if(checked.bad()).alias("bad"))
-            good = type(checked)(counted, checked.columns, checked.carry, checked.checks).accepted()
+            good = checked.observed(observed).accepted()
         write_silver(_deduplicated(good, schema), silver_base, schema, params_col="params")
         if on_error == "quarantine" and observed.get["bad"]:
             write_quarantine(checked.rejected(), quarantine_base, at_ms)

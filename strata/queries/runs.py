@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import text as tx
+from strata.functions.times import epoch_ms
 from strata.operators import requests as rq
 from strata.operators import runs as rn
 from strata.plans.spec import datasets_frame, parse_contract
@@ -15,8 +16,6 @@ from strata.queries.silver import schema_of
 from strata.sinks.layers import write_bronze, write_silver
 from strata.sources.files import scan_artifacts
 
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def _contract(entity: str, required: list[str], optional: list[str], query_map: dict[str, str]):
     return parse_contract(
@@ -307,7 +306,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "events").select(
         F.lit("web").alias("source"), F.lit("events").alias("entity"), F.col("user_id").cast("string").alias("run_id"),
-        status.alias("status"), F.timestamp_diff("MILLISECOND", F.expr(EPOCH), F.col("ts")).alias("at_ms"),
+        status.alias("status"), epoch_ms(F.col("ts")).alias("at_ms"),
         F.when(kind != "click", F.col("props")).alias("extra"), "event_id",
     )
 

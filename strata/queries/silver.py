@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.keys import deduplicate, unique_key_violations
 from strata.operators.runs import log_status
+from strata.functions.times import epoch_ms
 from strata.operators.transforms import apply_transforms, check_rows
 from strata.plans.pipeline import append_run_log, read_run_log, run_silver
 from strata.plans.spec import Schema, parse_schema
@@ -345,7 +346,7 @@ FULL_TRANSFORMS = {
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON lines with short, case-distinct keys and some bad values."""
     events = table(spark, sf_dir, "events")
-    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
+    ms = epoch_ms(F.col("ts"))
     text = F.concat(F.lit(" "), F.initcap("event_type"), F.lit(" "))
     amount = F.when(F.col("event_id") % 20 == 7, F.lit("n/a")).otherwise(F.col("value").cast("string"))
     line = F.to_json(
@@ -396,7 +397,7 @@ def unique_key_violations_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def deduplicate_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = deduplicate(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"])
-    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
+    ms = epoch_ms(F.col("ts"))
     return latest.select("event_id", ms.alias("at_ms"), "user_id", "event_type", "value", "props")
 
 

@@ -91,11 +91,8 @@ def with_silver_partitions(
         added["run_id"] = F.lit(run_id)
     for name in schema.by_params:
         if params_col is not None:
-            known = F.assert_true(
-                F.map_contains_key(F.col(params_col), name), F.lit(f"partitioning param missing: {name}")
-            )
-            df = df.where(known.isNull())
-            value = F.col(params_col)[name]
+            unknown = F.raise_error(F.lit(f"partitioning param missing: {name}"))
+            value = F.when(F.map_contains_key(F.col(params_col), name), F.col(params_col)[name]).otherwise(unknown)
         elif name in params:
             value = F.lit(str(params[name]))
         else:

@@ -85,8 +85,8 @@ def read_bronze(
         return parsed
     if on_error != "fail":
         raise ValueError(f"unknown on_error: {on_error}")
-    ok = F.assert_true(F.col("row").isNotNull(), F.concat(F.lit("malformed bronze line: "), F.col("value")))
-    return parsed.where(ok.isNull()).drop("value")
+    error = F.raise_error(F.concat(F.lit("malformed bronze line: "), F.col("value")))
+    return once(parsed, "row", F.coalesce("row", error)).drop("value")
 
 
 def payload_values(payload: Column) -> Column:
@@ -115,8 +115,9 @@ def explode_payload(df: DataFrame, payload: str = "payload", on_error: str = "fa
     items = payload_items(df, payload)
     others = [c for c in df.columns if c != payload]
     if on_error == "fail":
-        ok = F.assert_true(F.col("items").isNotNull(), F.lit("payload is not JSON"))
-        return items.where(ok.isNull()).select(*others, F.posexplode("items").alias("pos", "row"))
+        # Inside the generator, since null lists are filtered out before it.
+        checked = F.coalesce("items", F.raise_error(F.lit("payload is not JSON")))
+        return items.select(*others, F.posexplode(checked).alias("pos", "row"))
     none = F.array(F.lit(None).cast("variant"))
     return items.select(*others, payload, F.posexplode(F.coalesce("items", none)).alias("pos", "row")).withColumn(
         payload, F.when(F.col("row").isNull(), F.col(payload))
