@@ -141,7 +141,9 @@ def _json_to_int(value: Json) -> Column:
 
 
 def _json_to_float(value: Json) -> Column:
-    direct = F.when(~value.get("string").rlike("[dDfFxX]"), value.get("double"))
+    # A text of nothing but digits and signs is converted as text: numbers and number texts alike.
+    plain = value.get("string")
+    direct = F.when(~plain.rlike("[^0-9.+eE-]"), plain.try_cast("double"))
     by_kind = tx.let(
         value.get("string"),
         lambda text: F.when(value.is_text, _text_to_float(text)).otherwise(value.get("double")),
@@ -151,12 +153,16 @@ def _json_to_float(value: Json) -> Column:
 
 def _json_to_bool(value: Json) -> Column:
     text = value.get("string")
-    by_kind = tx.let(value.get("double"), lambda number: F.coalesce(value.is_number & (number != 0), F.lit(False)))
+    # A text is not tried as a number: a failed try costs far more than the look at its kind.
+    by_kind = tx.let(
+        value.kind,
+        lambda kind: F.when(kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), value.get("double") != 0),
+    )
     return (
         F.when(text.isNull(), F.lit(None).cast("boolean"))
         .when(text == "false", F.lit(False))
         .when(_text_to_bool(text), F.lit(True))
-        .otherwise(by_kind)
+        .otherwise(F.coalesce(by_kind, F.lit(False)))
     )
 
 

@@ -14,3 +14,9 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """
     others = [F.col(f"`{c}`") for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
+def texts(*candidates: Column) -> Column:
+    """The non-null ones of some non-empty texts, without the lambda of array_compact, so that it
+    stays inside generated code."""
+    return F.array_remove(F.array(*[F.coalesce(c, F.lit("")) for c in candidates]), F.lit(""))

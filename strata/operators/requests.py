@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import text as tx
 from strata.functions import times as tm
-from strata.functions.frames import once
+from strata.functions.frames import once, texts
 
 DEFAULT_LIMIT = 1000
 WINDOW_MINUTES = 60
@@ -89,16 +89,21 @@ def fill_defaults(
     )
     staged = once(requests, "_d", derived)
     d = {name: F.col(f"_d.{name}") for name in ("limit", "derives", "no_start", "no_end", "start")}
-    new = F.create_map(
-        F.lit("limit"), F.when(d["limit"], F.lit(str(default_limit))),
-        F.lit("start_ms"), F.when(d["no_start"], d["start"].cast("string")),
-        F.lit("end_ms"), F.when(d["no_end"], (d["start"] + window_minutes * 60_000).cast("string")),
-    )
-    staged = once(staged, "_new", F.map_filter(new, lambda _, v: v.isNotNull()))
-    kept = F.map_filter(params, lambda k, _: ~F.map_contains_key(F.col("_new"), k))
+    new = {
+        "limit": F.when(d["limit"], F.lit(str(default_limit))),
+        "start_ms": F.when(d["no_start"], d["start"].cast("string")),
+        "end_ms": F.when(d["no_end"], (d["start"] + window_minutes * 60_000).cast("string")),
+    }
+    keys = texts(*[F.when(value.isNotNull(), F.lit(name)) for name, value in new.items()])
+    staged = once(staged, "_new", F.struct(keys.alias("keys"), texts(*new.values()).alias("texts")))
+    new_keys = F.col("_new.keys")
+    kept = F.map_filter(params, lambda k, _: ~F.array_contains(new_keys, k))
+    filled = F.when(F.size(new_keys) == 0, params).otherwise(
+        F.map_concat(kept, F.map_from_arrays(new_keys, F.col("_new.texts")))
+    )
     reason = F.when(d["derives"] & d["start"].isNull(), F.lit("date and hour do not name an hour"))
     staged = staged.withColumn("window_reason", reason)
-    return once(staged, "params", F.map_concat(kept, F.col("_new"))).drop("_d", "_new")
+    return once(staged, "params", filled).drop("_d", "_new")
 
 
 def default_run_id(source: Column, entity: Column, params: Column, now: str | Column) -> Column:
@@ -122,14 +127,10 @@ def random_run_id() -> Column:
     return F.uuid()
 
 
-def provided(params: Column) -> Column:
-    return F.map_keys(F.map_filter(params, lambda _, v: v.isNotNull()))
-
-
 def missing_params(names: Column, params: Column) -> Column:
     """Names without a value, sorted. An empty value is a value here."""
-    wanted = F.coalesce(names, F.array().cast("array<string>"))
-    return F.array_sort(F.array_except(wanted, provided(params)))
+    absent = F.filter(names, lambda n: F.try_element_at(params, n).isNull())
+    return F.array_sort(F.array_distinct(F.coalesce(absent, F.array().cast("array<string>"))))
 
 
 def undeclared_placeholders(found: Column, required: Column, optional: Column) -> Column:
@@ -143,18 +144,22 @@ def _listing(label: str, names: Column) -> Column:
 def with_reasons(requests: DataFrame) -> DataFrame:
     """Everything wrong with a request, as ``reasons``; unknown parameters are allowed."""
     params = F.col("params")
-    empty_key = F.exists(F.map_keys(params), lambda k: k == "")
+    missing = F.struct(
+        missing_params(F.col("required"), params).alias("required"),
+        missing_params(F.col("placeholders"), params).alias("placeholders"),
+    )
+    found = once(requests, "_missing", missing)
     checks = [
         F.when(tx.is_blank(F.col("source")), F.lit("blank source")),
         F.when(tx.is_blank(F.col("entity")), F.lit("blank entity")),
         F.when(tx.is_blank(F.col("run_id")), F.lit("blank run_id")),
         F.when(params.isNull(), F.lit("no params")),
-        F.when(empty_key, F.lit("empty param key")),
-        _listing("missing required: ", missing_params(F.col("required"), params)),
-        _listing("missing placeholders: ", missing_params(F.col("placeholders"), params)),
+        F.when(F.map_contains_key(params, ""), F.lit("empty param key")),
+        _listing("missing required: ", F.col("_missing.required")),
+        _listing("missing placeholders: ", F.col("_missing.placeholders")),
     ]
     checks += [F.col(c) for c in ("contract_reason", "window_reason") if c in requests.columns]
-    return once(requests, "reasons", F.array_compact(F.array(*checks)))
+    return once(found, "reasons", texts(*checks)).drop("_missing")
 
 
 def validate_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from strata.functions import casts as ct
 from strata.functions import text as tx
+from strata.functions.frames import texts
 from strata.plans.spec import Schema, SpecError, check_transforms
 
 ROW = "row"
@@ -70,7 +71,7 @@ class Checked:
     def reasons(self) -> Column:
         if not self.checks:
             return F.array().cast("array<string>")
-        return F.array_compact(F.array(*[F.when(F.col(flag), F.lit(reason)) for reason, flag in self.checks]))
+        return texts(*[F.when(F.col(flag), F.lit(reason)) for reason, flag in self.checks])
 
     def _output(self) -> list[Column]:
         return [F.col(f"`{c}`") for c in (*self.carry, *self.columns)]
