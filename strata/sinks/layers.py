@@ -21,18 +21,26 @@ RUN_KEY = ("source", "entity", "run_id")
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
-def _cluster(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Bring the rows of a folder together for few files. Adaptive execution splits the share of a
-    folder that holds most rows over several tasks, and merges small ones."""
-    return df.hint("rebalance", *partitions)
+def _cluster(df: DataFrame, partitions: Sequence[str], salts: int | None = None) -> DataFrame:
+    """Bring the rows of a folder together for few files, and yet not into one task.
+
+    Adaptive execution splits a folder that holds a large share of the rows over several tasks, and
+    merges small ones. It is off inside a stream; there ``salts`` spreads each folder over that many
+    tasks, by the task the rows come from, which is the same when a task is run again.
+    """
+    if salts is None:
+        return df.hint("rebalance", *partitions)
+    return df.repartition(*[F.col(f"`{p}`") for p in partitions], F.pmod(F.spark_partition_id(), F.lit(salts)))
 
 
-def _write(df: DataFrame, base: str, file_format: str, partitions: Sequence[str], **options: Any) -> None:
+def _write(
+    df: DataFrame, base: str, file_format: str, partitions: Sequence[str], max_records: int, **options: Any
+) -> None:
     (
         df.write.format(file_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", max_records)
         .options(**options)
         .partitionBy(*partitions)
         .save(base)
@@ -53,6 +61,8 @@ def write_bronze(
     base: str,
     cluster: bool = False,
     extra_partitions: Sequence[str] = (),
+    salts: int | None = None,
+    max_records: int = MAX_RECORDS_PER_FILE,
 ) -> None:
     """Write JSON lines under source, entity, ingestion day and hour, and run.
 
@@ -65,7 +75,7 @@ def write_bronze(
         raise ValueError(f"bronze rows lack {missing}")
     carry = [*partitions, "pos", "params"]
     lines = df.select(to_json_line(df, "row", carry).alias("value"), *partitions)
-    _write(_cluster(lines, partitions) if cluster else lines, base, "text", partitions)
+    _write(_cluster(lines, partitions, salts) if cluster else lines, base, "text", partitions, max_records)
 
 
 def silver_partitions(schema: Schema) -> list[str]:
@@ -114,16 +124,19 @@ def write_silver(
     params_col: str | None = None,
     run_id: str | None = None,
     extra_partitions: Sequence[str] = (),
+    salts: int | None = None,
+    max_records: int = MAX_RECORDS_PER_FILE,
 ) -> None:
     """Write snappy Parquet, one folder per run below the partition values of the spec."""
     placed = with_silver_partitions(df, schema, params, params_col, run_id)
     partitions = [*silver_partitions(schema), *extra_partitions]
     data = [c for c in placed.columns if c not in partitions and c != params_col]
     placed = placed.select(*[f"`{c}`" for c in (*data, *partitions)])
-    _write(_cluster(placed, partitions), base, "parquet", partitions, compression="snappy")
+    placed = _cluster(placed, partitions, salts)
+    _write(placed, base, "parquet", partitions, max_records, compression="snappy")
 
 
 def write_quarantine(rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1) -> None:
     """Write rejected rows with their reasons, one folder per attempt and batch."""
     placed = rejected.withColumns({"attempt": F.lit(attempt), "batch_id": F.lit(str(batch_id))})
-    _write(placed, base, "parquet", ["attempt", "batch_id"])
+    _write(placed, base, "parquet", ["attempt", "batch_id"], MAX_RECORDS_PER_FILE)

@@ -23,6 +23,8 @@ from strata.sources.bronze import BRONZE_PARTITIONS, parse_lines, with_ingestion
 
 BATCH = "batch_id"
 BATCH_BRONZE = (*BRONZE_PARTITIONS, BATCH)
+# How many tasks may write the rows of one folder of a batch.
+SALTS = 8
 
 
 def _start(
@@ -60,7 +62,7 @@ def stream_bronze(
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
-            write_bronze(good.withColumn(BATCH, F.lit(str(batch_id))), base, cluster, extra_partitions=[BATCH])
+            write_bronze(good.withColumn(BATCH, F.lit(str(batch_id))), base, cluster, [BATCH], SALTS)
             bad = rows.where(F.col("error").isNotNull())
             if quarantine is not None:
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
@@ -113,7 +115,7 @@ def stream_silver(
             good = checked.enforced() if quarantine is None else checked.accepted()
             write_silver(
                 good.withColumn(BATCH, F.lit(str(batch_id))), silver_base, schema, params,
-                params_col=params_col, extra_partitions=[BATCH],
+                params_col=params_col, extra_partitions=[BATCH], salts=SALTS,
             )
             if quarantine is not None:
                 write_quarantine(checked.rejected(), quarantine, batch_id)

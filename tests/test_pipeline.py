@@ -168,6 +168,27 @@ def test_writes_are_rebalanced_by_folder(spark, tmp_path):
     assert "REBALANCE_PARTITIONS_BY_COL" in text
 
 
+def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
+    """Nine of ten rows belong to one run; both ways of clustering spread them."""
+    from strata.sinks.layers import _cluster
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    df = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("run_id"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB")
+        for salts in (None, 4):
+            out = str(tmp_path / f"out{salts}")
+            _cluster(df, ["run_id"], salts).write.partitionBy("run_id").parquet(out)
+            files = spark.read.parquet(out).select("run_id", F.input_file_name().alias("f")).distinct().groupBy("run_id").count()
+            n = {r.run_id: r["count"] for r in files.collect()}
+            assert n["hot"] > 1, (salts, n)
+            assert spark.read.parquet(out).count() == 200_000
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 def test_register_adds_columns(spark, tmp_path):
     base = str(tmp_path)
     old = Schema(1, "t", "s", "evolving", {"id": "int64"}, {})
