@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from strata.functions import casts as ct
 from strata.functions import text as tx
-from strata.functions.frames import texts
+from strata.functions.frames import once, texts
 from strata.plans.spec import Schema, SpecError, check_transforms
 
 ROW = "row"
@@ -81,7 +81,7 @@ class Checked:
         if not (self.costly and self.checks):
             return self
         rest = [c for c in self.df.columns if c not in _INPUT]
-        packed = self.df.select(*_INPUT, F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in rest]))).alias("_out"))
+        packed = once(self.df, "_out", F.struct(*[F.col(f"`{c}`") for c in rest]))
         return replace(self, df=packed.select(*_INPUT, "_out.*"), costly=False)
 
     def observed(self, observation: Observation) -> Checked:
@@ -100,7 +100,7 @@ class Checked:
             return self.df.select(*self._output())
         error = F.raise_error(F.concat(F.lit("rejected row: "), F.array_join(self.reasons(), ", ")))
         row = F.when(self.bad(), error).otherwise(F.struct(*self._output()))
-        return self.df.select(F.explode(F.array(row)).alias("_out")).select("_out.*")
+        return once(self.df, "_out", row).select("_out.*")
 
     def accepted(self) -> DataFrame:
         settled = self.settled()
