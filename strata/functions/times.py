@@ -50,7 +50,8 @@ def window_start_ms(date: Column, hour: Column) -> Column:
         part(date, 1, 4), part(date, 6, 2), part(date, 9, 2), hour.try_cast("int"), F.lit(0), F.lit(0)
     )
     shaped = (F.length(date) == 10) & (F.length(hour) == 2)
-    return F.when(shaped, epoch_ms(start))
+    start_ms = F.unix_date(start.cast("date")).cast("bigint") * 86_400_000 + hour.try_cast("int") * 3_600_000
+    return F.when(shaped, start_ms)
 
 
 def window_ms(date: Column, hour: Column, minutes: int = 60) -> tuple[Column, Column]:

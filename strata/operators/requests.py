@@ -74,20 +74,27 @@ def fill_defaults(
     def asked(name: str, *lists: str) -> Column:
         return F.greatest(F.lit(False), *[F.coalesce(F.array_contains(c, name), F.lit(False)) for c in lists])
 
-    needs_limit = asked("limit", "placeholders") & _filled(params, "limit").isNull()
-    needs_start = asked("start_ms", "placeholders", "required") & _filled(params, "start_ms").isNull()
-    needs_end = asked("end_ms", "placeholders", "required") & _filled(params, "end_ms").isNull()
-    date, hour = _filled(params, "date"), _filled(params, "hour")
-    derives = (needs_start | needs_end) & date.isNotNull() & hour.isNotNull()
-    # Everything read from the map comes first and once; lambdas and filters below only see columns.
+    # Each value is looked up once, as a column: repeated in every condition below, the look-ups
+    # would make a generated method too large to be compiled.
+    names = ("limit", "start_ms", "end_ms", "date", "hour")
+    given = F.struct(*[_filled(params, name).alias(name) for name in names])
+    wanted = F.struct(
+        asked("limit", "placeholders").alias("limit"),
+        asked("start_ms", "placeholders", "required").alias("start_ms"),
+        asked("end_ms", "placeholders", "required").alias("end_ms"),
+    )
+    staged = once(once(requests, "_given", given), "_wanted", wanted)
+    value = {name: F.col(f"_given.{name}") for name in names}
+    lacks = {name: F.col(f"_wanted.{name}") & value[name].isNull() for name in ("limit", "start_ms", "end_ms")}
+    derives = (lacks["start_ms"] | lacks["end_ms"]) & value["date"].isNotNull() & value["hour"].isNotNull()
     derived = F.struct(
-        needs_limit.alias("limit"),
+        lacks["limit"].alias("limit"),
         derives.alias("derives"),
-        _filled(params, "start_ms").isNull().alias("no_start"),
-        _filled(params, "end_ms").isNull().alias("no_end"),
-        F.when(derives, tm.window_start_ms(date, hour)).alias("start"),
+        value["start_ms"].isNull().alias("no_start"),
+        value["end_ms"].isNull().alias("no_end"),
+        F.when(derives, tm.window_start_ms(value["date"], value["hour"])).alias("start"),
     )
-    staged = once(requests, "_d", derived)
+    staged = once(staged, "_d", derived)
     d = {name: F.col(f"_d.{name}") for name in ("limit", "derives", "no_start", "no_end", "start")}
     new = {
         "limit": F.when(d["limit"], F.lit(str(default_limit))),
@@ -103,7 +110,7 @@ def fill_defaults(
     )
     reason = F.when(d["derives"] & d["start"].isNull(), F.lit("date and hour do not name an hour"))
     staged = staged.withColumn("window_reason", reason)
-    return once(staged, "params", filled).drop("_d", "_new")
+    return once(staged, "params", filled).drop("_given", "_wanted", "_d", "_new")
 
 
 def default_run_id(source: Column, entity: Column, params: Column, now: str | Column) -> Column:
