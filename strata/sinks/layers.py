@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from strata.plans.spec import Schema, SpecError
 from strata.sources.bronze import BRONZE_PARTITIONS
 
-RUN_KEY = ("source", "entity", "run_id")
 # Keeps a file well below the size a whole-file digest can hold in one row.
 MAX_RECORDS_PER_FILE = 1_000_000
 
