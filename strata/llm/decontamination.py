@@ -158,40 +158,38 @@ def find_phrases(index: Index, phrases: DataFrame, slack: int | None = None) ->
     vocabulary = saved(terms.select("term").distinct(), "vocabulary")
     held = saved(index.postings.join(vocabulary, "term"), "held-postings")
     frequent = held.groupBy("term").agg(F.sum("n").alias("freq"))
-    ranked = terms.join(frequent, "term", "left")
-    whole = ranked.groupBy("phrase_id").agg(
-        F.min(F.struct("freq", "offset", "term")).alias("rarest"), F.bool_and(F.col("freq").isNotNull()).alias("all_known")
-    )
-    rarest = whole.where("all_known").select("phrase_id", F.col("rarest.term").alias("term"))
+    by_rarity = F.array_sort(F.collect_list(F.struct("freq", "offset", "term"))).alias("terms")
+    ranked = terms.join(frequent, "term", "left").groupBy("phrase_id").agg(by_rarity, F.bool_and(F.col("freq").isNotNull()).alias("all_known"))
+    ranked = saved(ranked.where("all_known").select("phrase_id", F.col("terms.term").alias("terms"), F.col("terms.offset").alias("offsets")), "ranked-phrases")
+    rarest = ranked.select("phrase_id", F.get("terms", F.lit(0)).alias("term"))
     blocks = rarest.join(held.select("term", "block"), "term").select("phrase_id", "block")
-    needed = blocks.join(ranked, "phrase_id").select("block", "phrase_id", "offset", "term", "freq")
-    starts = blocks.select("block").distinct().select("block", F.lit("").alias("term"))
-    lists = held.join(needed.select("block", "term").distinct(), ["block", "term"], "left_semi").select("block", "term", "gaps")
+    needed = saved(blocks.join(ranked, "phrase_id").select("block", "phrase_id", "terms", "offsets"), "lookups")
+    starts = needed.select("block").distinct().select("block", F.lit("").alias("term"))
+    wanted = needed.select("block", F.explode("terms").alias("term")).distinct()
+    lists = held.join(wanted, ["block", "term"], "left_semi").select("block", "term", "gaps")
     begins = index.postings.where(F.col("term") == "").join(starts, ["block", "term"], "left_semi").select("block", "term", "gaps")
     id_type = phrases.schema["phrase_id"].dataType.simpleString()
 
     def intersect(needed: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
-        packed = dict(zip(lists["term"], lists["gaps"]))
-        begins, known, found = _positions(packed.pop("", [])), {}, []
-        for phrase_id, own in needed.groupby("phrase_id", sort=False):
-            if not all(t in packed for t in own["term"]):
+        known = {term: _positions(gaps) for term, gaps in zip(lists["term"], lists["gaps"])}
+        begins, held, found = known.pop("", np.empty(0, np.int64)), known.keys(), []
+        for phrase_id, terms, offsets in zip(needed["phrase_id"], needed["terms"], needed["offsets"]):
+            if not held >= set(terms):
                 continue
-            own = own.sort_values(["freq", "offset"])
-            for t in own["term"]:
-                if t not in known:
-                    known[t] = _positions(packed[t])
-            offsets = own["offset"].tolist()
             if slack is None:
-                first, stop = _exact([known[t] for t in own["term"]], offsets)
+                first, stop = _exact([known[t] for t in terms], offsets)
             else:
-                in_order = own.sort_values("offset")
-                first, stop = _near([known[t] for t in in_order["term"]], slack, offsets[0])
-            doc = np.searchsorted(begins, first, side="right") - 1
-            inside = (doc >= 0) & (doc == np.searchsorted(begins, stop - 1, side="right") - 1)
-            doc, first, stop = doc[inside], first[inside], stop[inside]
-            if len(doc):
-                found.append(pd.DataFrame({"phrase_id": phrase_id, "block": own["block"].iloc[0], "ord": doc, "start": first - begins[doc], "stop": stop - begins[doc]}))
-        return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("phrase_id", "block", "ord", "start", "stop")})
+                order = np.argsort(offsets)
+                first, stop = _near([known[terms[i]] for i in order], slack, int(offsets[0]))
+            if len(first):
+                found.append((phrase_id, first, stop))
+        first, stop = (np.concatenate([np.empty(0, np.int64), *[f[i] for f in found]]).astype(np.int64) for i in (1, 2))
+        own = np.repeat(np.arange(len(found)), [len(f[1]) for f in found])
+        doc = np.searchsorted(begins, first, side="right") - 1
+        inside = (doc >= 0) & (doc == np.searchsorted(begins, stop - 1, side="right") - 1)
+        own, doc, first, stop = own[inside], doc[inside], first[inside], stop[inside]
+        block = needed["block"].iloc[0] if len(needed) else ""
+        return pd.DataFrame({"phrase_id": [found[i][0] for i in own], "block": block, "ord": doc, "start": first - begins[doc], "stop": stop - begins[doc]})
 
     pairs = needed.groupBy("block").cogroup(lists.unionByName(begins).groupBy("block"))
     return pairs.applyInPandas(intersect, f"phrase_id {id_type}, block string, ord int, start bigint, stop bigint")

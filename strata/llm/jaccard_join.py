@@ -4,13 +4,13 @@
    Shingles that occur in several sets of one task are counted, and the most frequent ones are ordered last by their
    counts; all others come first, by hash. Any order gives the same links. The table of frequent shingles has a
    fixed size, whatever the input.
-2. The prefix of a set, in that order, is such that two sets that link share a shingle of both prefixes. Postings
-   of rare shingles travel packed, and lists of a single node end there; those of frequent ones travel as rows.
+2. The prefix of a set, in that order, is such that two sets that link share a shingle of both prefixes. Postings travel
+   packed; lists of a single node end there.
 3. Nodes that share a prefix shingle are candidates if their sizes fit (length filter), if enough shingles can follow
    the shared one (positional filter), and if their numbers of shingles between fixed pivots leave room for enough
-   shared ones (suffix filter). First every node meets the smallest node of its lists only. What these links
-   leave in different components meets in pairs, once, so that no link between components is missed, while
-   the pairs within a large group of copies are never listed.
+   shared ones (suffix filter). First every node meets one node of each of its lists only, in rounds, as long as that
+   joins components and many pairs are left. What these links leave in different components meets in pairs, once, so
+   that no link between components is missed, while the pairs within a large group of copies are never listed.
 4. A candidate pair is verified on the whole texts.
 
 Defined cases: null texts and texts without words have an empty set and link with nothing; texts of fewer words than a
@@ -143,7 +143,10 @@ def frequent_shingles(nodes: DataFrame, most: int) -> tuple[np.ndarray, np.ndarr
 
 
 def build_postings(docs: DataFrame, text: str, nodes: DataFrame, width: int, similar: tuple[int, int], frequent_most: int) -> DataFrame:
-    """Rows h, node, n, pos of prefix shingles that several nodes hold."""
+    """Rows h, node, n, pos of prefix shingles that several nodes hold, and held, the number of a node's rows.
+
+    Postings of rare shingles are dealt by shingle; those of frequent ones, of which one could fill a task, by node.
+    """
     spark, (num, den) = docs.sparkSession, similar
     shingles, places = frequent_shingles(nodes, frequent_most)
     table = spark.sparkContext.broadcast((shingles, places))
@@ -154,25 +157,16 @@ def build_postings(docs: DataFrame, text: str, nodes: DataFrame, width: int, sim
         shingler, seen, held, size = Shingler(width), set(), [], 0
         frequent, place = table.value
 
-        def rows(packed: np.ndarray, plain: bool):
-            if plain:
-                columns = [pa.nulls(len(packed), pa.int32()), pa.nulls(len(packed), pa.binary()), *(pa.array(packed[c]) for c in ("h", "node", "n", "pos"))]
-            else:
-                bucket = (packed["h"].view(np.uint64) % np.uint64(n_buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                packed, bucket = packed[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                parts = [p.tobytes() for p in np.split(packed, cuts)]
-                m = len(parts)
-                columns = [pa.array(bucket[np.concatenate(([0], cuts))]), pa.array(parts, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())]
-            return pa.RecordBatch.from_arrays(columns, names=["bucket", "packed", "h", "node", "n", "pos"])
-
         def flush():
             whole = np.concatenate(held)
-            known = np.isin(whole["h"].view(np.uint64), frequent)
-            for plain, part in ((True, whole[known]), (False, whole[~known])):
-                if len(part):
-                    yield rows(part, plain)
+            rare = (whole["h"].view(np.uint64) % np.uint64(n_buckets)).astype(np.int32)
+            dealt = (whole["node"].view(np.uint64) % np.uint64(n_buckets)).astype(np.int32)
+            bucket = np.where(np.isin(whole["h"].view(np.uint64), frequent), n_buckets + dealt, rare)
+            order = np.argsort(bucket, kind="stable")
+            whole, bucket = whole[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            parts = [p.tobytes() for p in np.split(whole, cuts)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate(([0], cuts))]), pa.array(parts, pa.binary())], names=["bucket", "packed"])
 
         import xxhash
 
@@ -202,13 +196,12 @@ def build_postings(docs: DataFrame, text: str, nodes: DataFrame, width: int, sim
                 held.append(posting)
                 size += len(posting)
                 if size > 1_000_000:
-                    yield from flush()
+                    yield flush()
                     held, size = [], 0
         if held:
-            yield from flush()
+            yield flush()
 
-    rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(postings, "bucket int, packed binary, h bigint, node bigint, n int, pos int")
-    rows = saved(rows, "postings")
+    rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(postings, "bucket int, packed binary")
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
         whole = np.frombuffer(b"".join(group["packed"]), POSTING)
@@ -216,13 +209,13 @@ def build_postings(docs: DataFrame, text: str, nodes: DataFrame, width: int, sim
         same = whole["h"][1:] == whole["h"][:-1]
         again = same & (whole["node"][1:] == whole["node"][:-1])  # a node that several tasks have met
         whole = whole[np.concatenate(([True], ~again))] if len(whole) else whole
-        same = whole["h"][1:] == whole["h"][:-1]
-        keep = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        return pd.DataFrame({c: whole[c][keep] for c in POSTING.names})
+        if len(group) and group["bucket"].iloc[0] < n_buckets:
+            same = whole["h"][1:] == whole["h"][:-1]
+            whole = whole[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        return pd.DataFrame({c: whole[c] for c in POSTING.names})
 
-    rare = rows.where("bucket is not null").select("bucket", "packed").groupBy("bucket").applyInPandas(shared, "h bigint, node bigint, n int, pos int")
-    plain = rows.where("bucket is null").select("h", "node", "n", "pos").distinct()
-    return saved(rare.union(plain), "shared-postings")
+    lists = saved(rows.groupBy("bucket").applyInPandas(shared, "h bigint, node bigint, n int, pos int"), "shared-postings")
+    return lists.join(lists.groupBy("node").agg(F.count(F.lit(1)).alias("held")), "node")
 
 
 def _fits(similar: tuple[int, int]) -> Column:
@@ -241,6 +234,22 @@ def _pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
+def _stars(postings: DataFrame, roots: DataFrame | None, similar: tuple[int, int]) -> DataFrame:
+    """Pairs of every node with one node of each of its lists: that with the most rows, which of a family of near copies is
+    the one with the least changes of its own. In later rounds, only pairs from different components and with a
+    node that the components so far let stand for its list."""
+    if roots is None:
+        rank, known = F.struct(F.col("held"), F.col("node"), F.col("n"), F.col("pos"), F.col("node").alias("root")), postings.withColumn("root", F.col("node"))
+    else:
+        known = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sizes = known.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+        known = known.join(sizes, "root")
+        rank = F.struct(F.col("size"), F.xxhash64("node", "root"), F.col("node"), F.col("n"), F.col("pos"), F.col("root"))
+    chosen = known.groupBy("h").agg(F.max(rank).alias("top")).select("h", F.col("top.root").alias("a_root"), *[F.col(f"top.{c}").alias(f"a_{c}") for c in ("node", "n", "pos")])
+    met = known.select("h", F.col("root").alias("b_root"), *_posting("b")).join(chosen, "h")
+    return _pairs(met.where("a_root <> b_root").where(_fits(similar)))
+
+
 def _plausible(pairs: DataFrame, reps: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Suffix filter: sets with too different numbers of shingles between the pivots can't overlap enough."""
     num, den = similar
@@ -304,21 +313,26 @@ def linked_documents(docs: DataFrame, id_column: str, text: str, *, width: int =
         same = (F.col("text_key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
         return saved(found.join(named, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    least = postings.groupBy("h").agg(F.min(F.struct("node", "n", "pos")).alias("least"))
-    met = postings.select("h", *_posting("b")).join(least.select("h", *[F.col(f"least.{c}").alias(f"a_{c}") for c in ("node", "n", "pos")]), "h")
-    first = saved(_plausible(_pairs(met.where((F.col("a_node") != F.col("b_node")) & _fits(similar))), reps, similar), "star-pairs")
-    links = saved(verified(first, texts_of(first), width, similar), "star-links")
-    roots = components(links)
-
-    root = F.coalesce("root", "node")
-    labelled = postings.join(roots, "node", "left").select("h", "node", "n", "pos", root.alias("root"))
-    apart = labelled.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("h")
-    open_lists = saved(labelled.join(apart, "h", "left_semi"), "open-lists")
-    left, right = open_lists.select("h", F.col("root").alias("a_root"), *_posting("a")), open_lists.select("h", F.col("root").alias("b_root"), *_posting("b"))
-    across = left.join(right, "h").where("a_node < b_node and a_root <> b_root").where(_fits(similar))
-    second = saved(_plausible(_pairs(across).join(first, ["a", "b"], "left_anti"), reps, similar), "cross-pairs")
-    more = saved(verified(second, texts_of(second), width, similar), "cross-links")
-    roots = components(links.union(more))
+    postings = saved(postings, "postings")
+    links = tried = roots = None
+    while True:
+        pairs = _plausible(_stars(postings, roots, similar), reps, similar)
+        pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = saved(verified(pairs, texts_of(pairs), width, similar), "links")
+        links, tried = (new, pairs) if links is None else (links.union(new), tried.union(pairs))
+        roots = components(links)
+        labelled = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sizes = labelled.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("h")
+        apart = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own")).where("n * n > own")
+        open_lists = saved(labelled.join(apart.select("h", F.lit(True).alias("_open")), "h").drop("_open"), "open-lists")
+        left = apart.agg(F.sum(F.col("n") * F.col("n") - F.col("own")), F.sum("n")).first()
+        if (left[0] or 0) <= 16 * (left[1] or 0) or new.isEmpty():
+            break
+        postings = open_lists.drop("root")
+    a_side, b_side = open_lists.select("h", F.col("root").alias("a_root"), *_posting("a")), open_lists.select("h", F.col("root").alias("b_root"), *_posting("b"))
+    across = a_side.join(b_side, "h").where("a_node < b_node and a_root <> b_root").where(_fits(similar))
+    pairs = saved(_plausible(_pairs(across).join(tried, ["a", "b"], "left_anti"), reps, similar), "pairs")
+    roots = components(links.union(verified(pairs, texts_of(pairs), width, similar)))
 
     whole = nodes.join(roots, "node", "left").select("id", "n", "node", F.coalesce("root", "node").alias("root"))
     smallest = whole.where("root is not null").groupBy("root").agg(F.min("id").alias("component"))
