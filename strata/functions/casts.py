@@ -122,8 +122,8 @@ class Json:
 
 def _json_to_text(value: Json) -> Column:
     def by_kind(text: Column) -> Column:
-        # A literal with a fraction is a decimal here; an integer beyond 64 bits is one, too.
-        is_float = (value.kind.startswith("DECIMAL") & (F.length(text) < 19)) | (value.kind == "DOUBLE")
+        # A literal with a fraction is a decimal here; an integer beyond 64 bits is one without a scale, of 19 digits or more.
+        is_float = (value.kind.startswith("DECIMAL") & ~value.kind.rlike(r"\((19|[23][0-9]),0\)$")) | (value.kind == "DOUBLE")
         return (
             F.when(value.kind == "BOOLEAN", F.initcap(text))
             .when(is_float, tx.float_text(value.get("double")))

@@ -7,12 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sums of money and quantities are exact, so that they do not depend on the order of the tasks.
-EXACT = "decimal(28,8)"
-
-
-def exact_sum(value: Column) -> Column:
-    return F.sum(value.cast(EXACT)).cast("double")
+def exact_sum(value: Column, scale: int = 8) -> Column:
+    """A sum that does not depend on the order of the tasks: values are rounded to ``scale`` decimals and summed exactly."""
+    return F.sum(value.cast(f"decimal({20 + scale},{scale})")).cast("double")
 
 
 def gold_aggregate(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -20,12 +17,12 @@ def gold_aggregate(df: DataFrame, by: Sequence[str], measures: Mapping[str, Colu
 
 
 def gold_bars(
-    df: DataFrame, by: Sequence[str], bucket: str, value: str, order_by: Sequence[str], bucket_name: str = "bucket"
+    df: DataFrame, by: Sequence[str], bucket: str, value: str, order_by: Sequence[str], bucket_name: str = "bucket", scale: int = 8
 ) -> DataFrame:
     """Open, high, low, close and sum of a value per key and bucket of a sortable column.
 
     First and last are partial aggregates over (time, tie-breaker), not a sorted window, so a
-    bucket with most of the rows is reduced before it is shuffled.
+    bucket with most of the rows is reduced before it is shuffled. ``scale`` is that of ``exact_sum``.
     """
     order = F.struct(*order_by)
     return gold_aggregate(
@@ -36,7 +33,7 @@ def gold_bars(
             "high": F.max(value),
             "low": F.min(value),
             "close": F.max_by(value, order),
-            "volume": exact_sum(F.col(value)),
+            "volume": exact_sum(F.col(value), scale),
             "n_rows": F.count(F.lit(1)),
         },
     )

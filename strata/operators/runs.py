@@ -7,6 +7,8 @@ events, so a redelivered request never resets a finished run.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -65,11 +67,13 @@ def decode_extra(extra: Column) -> Column:
 def latest_state(run_log: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
     """Per run: its current status, when it was requested and updated, and the last extra.
 
-    Time and status are packed into one number, so the status is a plain hash aggregate.
+    A request counts only while the run has not reached bronze or silver, so a redelivered one resets nothing.
+    Time and status are packed into one number.
     """
     rank = status_rank(F.col("status"))
     moment = F.col("at_ms") * 4 + rank
-    last = F.max(moment)
+    reached = F.bool_or(rank.isin(1, 2))
+    last = F.when(reached, F.max(F.when(rank > 0, moment))).otherwise(F.max(moment))
     return run_log.groupBy(*keys).agg(
         F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (F.pmod(last, F.lit(4)) + 1).cast("int")).alias("status"),
         F.max(F.when(rank == 0, F.col("at_ms"))).alias("requested_at_ms"),
@@ -117,7 +121,10 @@ def run_transitions(
     steps = sliced.withColumn("_before", F.lag("status").over(inside))
     ends = sliced.groupBy(*keys, "_slice").agg(F.max_by("status", F.struct(*order)).alias("_end"))
     carried = ends.withColumn("_carried", F.lag("_end").over(W.partitionBy(*keys).orderBy("_slice")))
-    joined = steps.join(carried.drop("_end"), [*keys, "_slice"])
+    named = [c for c in (*keys, "_slice")]
+    carried = carried.select(*[F.col(c).alias(f"_c_{c}") for c in named], "_carried")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in named])
+    joined = steps.join(carried, same)
     before = F.coalesce("_before", "_carried")
     legal = F.when(F.col("status") == "FAILED", F.lit(True)).otherwise(
         F.col("_rank") == F.coalesce(status_rank(before) + 1, F.lit(0))

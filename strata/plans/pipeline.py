@@ -6,6 +6,7 @@ The run is a column and a folder; a batch of runs is one Spark job, not one job
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,6 +17,7 @@ from strata.operators import runs as rn
 from strata.operators.mapping import mapped_items
 from strata.operators.transforms import check_rows
 from strata.plans.spec import Schema
+from strata.plans.workspace import work_dir
 from strata.sinks.layers import write_bronze, write_quarantine, write_silver
 from strata.sources.bronze import BRONZE_PARTITIONS, explode_payload, parse_lines, text_lines, with_ingestion_partitions
 from strata.sources.files import scan_artifacts
@@ -66,7 +68,8 @@ def land_bronze(
     whose payload is bad is logged as failed and not written; the others are not held up by it.
     """
     at_ms = at_ms or now_ms()
-    todo = rn.pending_runs(payloads, read_run_log(spark, log_path), "bronze")
+    # One payload per run, even where it was delivered twice.
+    todo = rn.pending_runs(payloads, read_run_log(spark, log_path), "bronze").dropDuplicates(list(RUN_KEY))
     rows = payload_rows(todo, mapping_columns)
     good = rows.where(F.col("error").isNull())
     if mapping_columns is None:
@@ -76,25 +79,29 @@ def land_bronze(
         good = counted.where(F.col("error").isNull())
         bad = None
     else:
-        bad = _log_bad_payloads(spark, rows, log_path, at_ms)
+        bad = _log_bad_payloads(rows, log_path, at_ms)
         good = good.join(bad, list(RUN_KEY), "left_anti")
     write_bronze(with_ingestion_partitions(good.drop("error", "payload"), ingested_at), base)
     if bad is None and observed.get["bad"]:
-        bad = _log_bad_payloads(spark, rows, log_path, at_ms)
+        bad = _log_bad_payloads(rows, log_path, at_ms)
     done = todo if bad is None else todo.join(bad, list(RUN_KEY), "left_anti")
     append_run_log(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path)
 
 
-def _log_bad_payloads(spark: SparkSession, checked: DataFrame, log_path: str, at_ms: int) -> DataFrame:
-    """Log runs with a bad item as failed and return them, read back from the log."""
+def _log_bad_payloads(checked: DataFrame, log_path: str, at_ms: int) -> DataFrame:
+    """Log runs with a bad item as failed and return them."""
     bad = checked.where(F.col("error").isNotNull()).groupBy(*RUN_KEY).agg(F.min("error").alias("error"))
-    append_run_log(rn.log_failed(bad, at_ms, F.col("error")), log_path)
-    return _failed_at(spark, log_path, at_ms)
+    return _log_failures(bad, log_path, at_ms)
 
 
-def _failed_at(spark: SparkSession, log_path: str, at_ms: int) -> DataFrame:
-    log = read_run_log(spark, log_path)
-    return log.where((F.col("status") == "FAILED") & (F.col("at_ms") == at_ms)).select(*RUN_KEY)
+def _log_failures(failed: DataFrame, log_path: str, at_ms: int) -> DataFrame:
+    """Log runs with their error as failed and return their keys. They are kept in a folder of the job, so that jobs of one
+    moment never take each other's failures for their own."""
+    folder = work_dir(failed.sparkSession, "failed")
+    failed.write.parquet(folder)
+    kept = failed.sparkSession.read.schema(failed.schema).parquet(folder)
+    append_run_log(rn.log_failed(kept, at_ms, F.col("error")), log_path)
+    return kept.select(*RUN_KEY)
 
 
 def run_silver(
@@ -113,14 +120,14 @@ def run_silver(
     """Transform every landed run that is not in silver yet, and log each run.
 
     A bad row fails the job (``fail``), fails its run and no other (``fail_run``), or is set aside
-    (``quarantine``). Bronze is read once; a second pass over it happens only for ``fail_run`` and,
-    in quarantine, after rows were in fact rejected. ``force`` redoes finished runs.
+    (``quarantine``). Bronze is read once, and a second time for ``fail_run`` and ``quarantine``. ``force`` redoes
+    finished runs.
     """
     if on_error not in ("fail", "fail_run", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
     if on_error == "quarantine" and quarantine_base is None:
         raise ValueError("quarantine needs a folder for rejected rows")
-    at_ms = at_ms or now_ms()
+    at_ms, job = at_ms or now_ms(), uuid.uuid4().hex
     log = read_run_log(spark, log_path)
     landed = log.where(F.col("status").isin(*rn.DONE["bronze"])).select(*RUN_KEY)
     own = requests.where((F.col("source") == schema.source) & (F.col("entity") == schema.entity))
@@ -138,20 +145,19 @@ def run_silver(
         elif on_error == "fail_run":
             reason = F.min(F.element_at("reasons", 1)).alias("error")
             failed = checked.rejected().groupBy(*RUN_KEY).agg(reason)
-            append_run_log(rn.log_failed(failed, at_ms, F.col("error")), log_path)
-            good = checked.accepted().join(_failed_at(spark, log_path, at_ms), list(RUN_KEY), "left_anti")
+            failed = _log_failures(failed, log_path, at_ms)
+            good = checked.accepted().join(failed, list(RUN_KEY), "left_anti")
         else:
-            observed = Observation()
-            good = checked.observed(observed).accepted()
+            # Rejected rows are set aside first: a run is not logged as done before they are kept.
+            write_quarantine(checked.rejected(), quarantine_base, f"{at_ms}-{job}")
+            good = checked.accepted()
         write_silver(_deduplicated(good, schema), silver_base, schema, params_col="params")
-        if on_error == "quarantine" and observed.get["bad"]:
-            write_quarantine(checked.rejected(), quarantine_base, at_ms)
     except Exception as error:
-        append_run_log(rn.log_failed(todo, at_ms, F.lit(str(error)[:1000])), log_path)
+        append_run_log(rn.log_failed(todo, at_ms, F.lit(str(error))), log_path)
         raise
     finished = todo
     if on_error == "fail_run":
-        finished = todo.join(_failed_at(spark, log_path, at_ms), list(RUN_KEY), "left_anti")
+        finished = todo.join(failed, list(RUN_KEY), "left_anti")
     append_run_log(_silver_events(spark, schema, finished, silver_base, at_ms), log_path)
 
 
@@ -188,8 +194,8 @@ def retry_quarantine(rejected: DataFrame, schema: Schema, **options) -> tuple[Da
 
     A row is tried five times in all.
     """
-    carry = [c for c in rejected.columns if c not in ("input", "reasons", "params", "batch_id")]
-    rows = parse_lines(rejected.withColumnRenamed("input", "value").drop("reasons", "batch_id"))
+    carry = [c for c in rejected.columns if c not in ("input", "reasons", "params", "batch_id", "layer")]
+    rows = parse_lines(rejected.withColumnRenamed("input", "value").drop("reasons", "batch_id", "layer"))
     checked = check_rows(rows, schema, carry=carry, **options)
     again = checked.rejected().withColumn("attempt", F.col("attempt") + 1)
     good = checked.accepted().drop("attempt")

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the session names; a local one only where it names none."""
+    """A fresh folder below the shared folder the session names, or below its warehouse where it names none."""
     shared = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="strata-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"

@@ -324,11 +324,16 @@ _EVENT_LOG = """
 
 @query(
     _EVENT_LOG
-    + """
-    SELECT run_id, max_by(status, at_ms * 4 + rank) AS status,
+    + """,
+    reached AS (SELECT DISTINCT run_id FROM log WHERE status IN ('BRONZE_WRITTEN', 'SILVER_WRITTEN')),
+    last AS (
+      SELECT run_id, status FROM log
+      WHERE status <> 'REQUESTED' OR run_id NOT IN (SELECT run_id FROM reached)
+      QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY at_ms DESC, rank DESC) = 1)
+    SELECT run_id, any_value(last.status) AS status,
            max(at_ms) FILTER (rank = 0) AS requested_at_ms, max(at_ms) FILTER (rank > 0) AS updated_at_ms,
            CAST(json_extract_string(max_by(extra, at_ms * 4 + rank) FILTER (extra IS NOT NULL), '$.k') AS BIGINT) AS k
-    FROM log GROUP BY 1
+    FROM log JOIN last USING (run_id) GROUP BY 1
     """
 )
 def run_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.operators.runs import latest_state
 from strata.plans.pipeline import read_run_log, retry_quarantine
 from strata.plans.workspace import work_dir
-from strata.queries.registry import query
+from strata.queries.registry import query, table
 from strata.queries.silver import schema_of
 from strata.sources.bronze import read_bronze
 from strata.sources.silver import read_silver
@@ -58,6 +58,38 @@ def stream_bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT 'run-' || event_type AS run_id, event_id FROM events WHERE event_id % 25 <> 0
+    """
+)
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams land the same messages below one base, and each is landed once."""
+    base = work_dir(spark, "redelivered")
+    for name in ("first", "second"):
+        stream_bronze(
+            _messages(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint-{name}", "day", cluster=True, landed=f"{base}/landed",
+        ).awaitTermination()
+    rows = read_bronze(spark, f"{base}/bronze", BATCH_BRONZE)
+    return rows.select("run_id", F.try_variant_get("row", "$.event_id", "bigint").alias("event_id"))
+
+
+@query(
+    """
+    SELECT 'run-' || event_type AS run_id, ts, event_id FROM events WHERE event_id % 25 <> 0
+    """
+)
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, of odd and of even messages, land below one base, and neither replaces what the other wrote."""
+    base = work_dir(spark, "two-streams")
+    for odd in (0, 1):
+        messages = _messages(spark, sf_dir).where(F.get_json_object("payload", "$.event_id").try_cast("bigint") % 2 == odd)
+        stream_bronze(messages, f"{base}/bronze", f"{base}/checkpoint-{odd}", "day", cluster=True).awaitTermination()
+    rows = read_bronze(spark, f"{base}/bronze", BATCH_BRONZE)
+    landed = rows.select("run_id", F.try_variant_get("row", "$.event_id", "bigint").alias("event_id"))
+    return landed.join(table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
+
+
 _SPEC = {
     "keep": ["event_id", "user_id", "value"],
     "cast": {"event_id": "int64", "user_id": "int64", "value": "float64"},

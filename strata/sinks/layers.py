@@ -135,7 +135,13 @@ def write_silver(
     _write(placed, base, "parquet", partitions, max_records, compression="snappy")
 
 
-def write_quarantine(rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1) -> None:
-    """Write rejected rows with their reasons, one folder per attempt and batch."""
-    placed = rejected.withColumns({"attempt": F.lit(attempt), "batch_id": F.lit(str(batch_id))})
-    _write(placed, base, "parquet", ["attempt", "batch_id"], MAX_RECORDS_PER_FILE)
+QUARANTINE_PARTITIONS = ("source", "entity", "layer", "attempt", "batch_id")
+
+
+def write_quarantine(rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1, layer: str = "silver") -> None:
+    """Write rejected rows with their reasons, one folder per dataset, layer, attempt and batch, so that no writer
+    replaces the rows of another. ``batch_id`` must name the writer, too; a counted ``attempt`` column is kept."""
+    added = {"layer": F.lit(layer), "batch_id": F.lit(str(batch_id))}
+    if "attempt" not in rejected.columns:
+        added["attempt"] = F.lit(attempt)
+    _write(rejected.withColumns(added), base, "parquet", QUARANTINE_PARTITIONS, MAX_RECORDS_PER_FILE)

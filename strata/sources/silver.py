@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,7 @@ def register_silver(
     """Create or extend the catalog table ``silver_<source>_<entity>`` over written folders.
 
     Columns new in the spec are added to an existing table, older partitions read null for them, and
-    partitions written since the last call are found.
+    partitions written since the last call are found. Only folders of this dataset are listed and added.
     """
     name = table or f"silver_{schema.source}_{schema.entity}".lower()
     struct = silver_struct(schema, logical_types, extra_partitions)
@@ -85,5 +86,12 @@ def register_silver(
         new = [ddl for column, ddl in quoted.items() if column.lower() not in known]
         if new:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    written = read_silver(spark, base, schema, logical_types, extra_partitions).select(*folders).distinct().toLocalIterator()
+    while batch := list(islice(written, 200)):
+        added = " ".join(f"PARTITION ({', '.join(f'`{k}` = {_literal(row[k])}' for k in folders)})" for row in batch)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
     return name
+
+
+def _literal(value: Any) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

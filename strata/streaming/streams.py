@@ -1,7 +1,8 @@
 """Micro-batch forms of landing and transforming.
 
 Each batch writes its own folders, below the run, and replaces only those; a batch that is played
-again after a failure leaves no duplicates.
+again after a failure leaves no duplicates. Folders are named by the stream as well, so a second stream, or one that
+begins anew with another checkpoint, never replaces what is there.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +25,7 @@ from strata.sources.bronze import BRONZE_PARTITIONS, parse_lines, with_ingestion
 
 BATCH = "batch_id"
 BATCH_BRONZE = (*BRONZE_PARTITIONS, BATCH)
-# How many tasks may write the rows of one folder of a batch.
+# How many tasks may write the rows of one folder of a batch, unless the caller says so.
 SALTS = 8
 
 
@@ -34,8 +36,36 @@ def _start(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _writer(batch: DataFrame, batch_id: int) -> str:
+    """Names a batch of a stream: the id that the checkpoint gives its query, and the batch."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("a batch outside a streaming query")
+    return f"{query}-{batch_id}"
+
+
+def _not_landed(batch: DataFrame, landed: str, writer: str) -> DataFrame:
+    """First deliveries of a batch: one row per message, without those that other batches have landed.
+
+    Keys are kept per day of landing; those of the batch itself, written before a failure, don't count.
+    """
+    key = F.sha2(F.to_json(F.struct(*rn.RUN_KEY, "payload"), {"ignoreNullFields": "false"}), 256)
+    fresh = batch.withColumn("_message", key).dropDuplicates(["_message"])
+    try:
+        known = batch.sparkSession.read.schema("_message string, day string, batch_id string").parquet(landed)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return fresh
+    return fresh.join(known.where(F.col(BATCH) != writer).select("_message"), "_message", "left_anti")
+
+
 def deduplicated(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
-    """Drop redelivered messages; keys are remembered for ``delay`` of event time."""
+    """Drop redelivered messages; keys are remembered for ``delay`` of event time.
+
+    For sources in about the order of their event time only: Spark drops first deliveries that come later than the
+    delay as well. ``stream_bronze`` with ``landed`` loses none.
+    """
     ntz = tm.utc_ntz(F.col(ts), stream.schema[ts].dataType)
     timed = stream.withColumn("_event_time", F.timestamp_millis(tm.epoch_ms(ntz)))
     return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
@@ -51,25 +81,34 @@ def stream_bronze(
     quarantine: str | None = None,
     cluster: bool = False,
     trigger: Mapping[str, Any] | None = None,
+    landed: str | None = None,
+    salts: int = SALTS,
 ) -> StreamingQuery:
     """Land a stream of messages with source, entity, run_id, payload and a timestamp.
 
-    Set ``cluster`` where the rows of a run come in many messages.
+    Set ``cluster`` where the rows of a run come in many messages. ``landed`` is a folder for the digests of messages: with
+    it, a message that is delivered again, whenever and by whichever stream, is not landed again.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        writer = _writer(batch, batch_id)
+        if landed is not None:
+            batch = _not_landed(batch, landed, writer)
         batch.persist()
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
-            write_bronze(good.withColumn(BATCH, F.lit(str(batch_id))), base, cluster, [BATCH], SALTS)
+            write_bronze(good.drop("_message").withColumn(BATCH, F.lit(writer)), base, cluster, [BATCH], salts)
             bad = rows.where(F.col("error").isNotNull())
             if quarantine is not None:
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
-                write_quarantine(kept, quarantine, batch_id)
+                write_quarantine(kept, quarantine, writer, layer="bronze")
             if log_path is not None:
-                landed = batch.select(*rn.RUN_KEY).distinct()
-                append_run_log(rn.log_status(landed, "BRONZE_WRITTEN", now_ms()), log_path)
+                runs = batch.select(*rn.RUN_KEY).distinct()
+                append_run_log(rn.log_status(runs, "BRONZE_WRITTEN", now_ms()), log_path)
+            if landed is not None:
+                keys = batch.select("_message", F.current_date().cast("string").alias("day"), F.lit(writer).alias(BATCH))
+                keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(landed)
         finally:
             batch.unpersist()
 
@@ -94,6 +133,7 @@ def stream_silver(
     quarantine: str | None = None,
     log_path: str | None = None,
     trigger: Mapping[str, Any] | None = None,
+    salts: int = SALTS,
 ) -> StreamingQuery:
     """Transform a stream of bronze lines.
 
@@ -102,6 +142,7 @@ def stream_silver(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        writer = _writer(batch, batch_id)
         wanted = (F.col("source") == schema.source) & (F.col("entity") == schema.entity)
         own = batch.where(wanted).select("value", *rn.RUN_KEY)
         params_col = None
@@ -114,14 +155,14 @@ def stream_silver(
             checked = check_rows(parsed, schema, params, params_col=params_col, carry=carry)
             good = checked.enforced() if quarantine is None else checked.accepted()
             write_silver(
-                good.withColumn(BATCH, F.lit(str(batch_id))), silver_base, schema, params,
-                params_col=params_col, extra_partitions=[BATCH], salts=SALTS,
+                good.withColumn(BATCH, F.lit(writer)), silver_base, schema, params,
+                params_col=params_col, extra_partitions=[BATCH], salts=salts,
             )
             if quarantine is not None:
-                write_quarantine(checked.rejected(), quarantine, batch_id)
+                write_quarantine(checked.rejected(), quarantine, writer)
             if log_path is not None:
                 counts = rn.run_metrics(good)
-                extra = F.to_json(F.struct(F.col("n_rows").alias("rows"), F.lit(batch_id).alias("batch")))
+                extra = F.to_json(F.struct(F.col("n_rows").alias("rows"), F.lit(writer).alias("batch")))
                 append_run_log(rn.log_status(counts, "SILVER_WRITTEN", now_ms(), extra), log_path)
         finally:
             parsed.unpersist()

@@ -220,3 +220,18 @@ def test_gold_file(spark, tmp_path):
 def test_work_dir_is_below_the_shared_folder(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_quarantine_without_work_and_without_good_rows(spark, tmp_path):
+    from strata.plans.pipeline import land_bronze, read_run_log, run_silver
+    from strata.plans.spec import Schema
+
+    spec, base = Schema(1, "t", "s", "e", {"id": "int64"}, {"cast": {"id": "int64"}}), str(tmp_path)
+    keys = "source string, entity string, run_id string, params map<string,string>"
+    requests = spark.createDataFrame([("s", "e", "r", {})], keys)
+    payloads = spark.createDataFrame([("s", "e", "r", {}, '[{"id":"x"}]')] * 2, f"{keys}, payload string").withColumn("t", F.expr("timestamp_ntz'2024-01-05 10:00:00'"))
+    land_bronze(spark, payloads, f"{base}/bronze", f"{base}/log", "t")
+    for _ in range(2):  # the second time nothing is pending
+        run_silver(spark, spec, requests, f"{base}/bronze", f"{base}/silver", f"{base}/log", on_error="quarantine", quarantine_base=f"{base}/q")
+    assert spark.read.parquet(f"{base}/q").count() == 1
+    assert [r.status for r in read_run_log(spark, f"{base}/log").orderBy("at_ms").collect()] == ["BRONZE_WRITTEN", "SILVER_WRITTEN"]

@@ -29,7 +29,7 @@ def test_latest_state(spark):
     got = {r.run_id: (r.status, r.requested_at_ms, r.updated_at_ms, r.extra) for r in state.collect()}
     assert got == {
         "r1": ("SILVER_WRITTEN", 10, 20, '{"k":1}'),
-        "r2": ("REQUESTED", 40, 30, '{"_raw":"not json"}'),
+        "r2": ("SILVER_WRITTEN", 40, 30, '{"_raw":"not json"}'),
         "r3": ("FAILED", None, 5, '{"error":"x"}'),
     }
 
@@ -96,16 +96,31 @@ def test_reconcile_summary_and_backlog(spark):
         "failed": ("FAILED", False, False, "failed"),
         "half": ("BRONZE_WRITTEN", True, False, "incomplete"),
         "new": (None, False, False, "incomplete"),
-        "moved": ("REQUESTED", True, True, "ok"),
+        "moved": ("SILVER_WRITTEN", True, True, "ok"),
     }
     row = rn.verification_summary(result).first()
     assert tuple(row) == (5, 2, 1, 2, False)
     assert rn.verification_summary(result.where("verdict = 'none'")).first().all_ok is True
     counts = {r.stage: (r.waiting, r.in_flight) for r in rn.backlog(asked, events).collect()}
-    assert counts == {"ingest": (1, 1), "transform": (1, 0)}
+    assert counts == {"ingest": (1, 0), "transform": (1, 0)}
 
 
 def test_rows_get_the_params_of_their_run(spark):
     rows = spark.createDataFrame([(*KEY, "a", 1), (*KEY, "z", 2)], "source string, entity string, run_id string, v int")
     joined = rn.rows_with_run_params(rows, requests(spark, "a", "a"))
     assert [(r.v, r.params) for r in joined.collect()] == [(1, {"d": "1"})]
+
+
+def test_a_redelivered_request_resets_nothing(spark):
+    from strata.operators.runs import RUN_LOG_DDL, latest_state
+
+    events = [("a", "SILVER_WRITTEN", 5), ("a", "REQUESTED", 9), ("b", "FAILED", 3), ("b", "REQUESTED", 4), ("c", "BRONZE_WRITTEN", 2), ("c", "FAILED", 3), ("c", "REQUESTED", 7)]
+    log = spark.createDataFrame([("s", "e", run, status, at, None, None) for run, status, at in events], RUN_LOG_DDL)
+    assert {r.run_id: r.status for r in latest_state(log).collect()} == {"a": "SILVER_WRITTEN", "b": "REQUESTED", "c": "FAILED"}
+
+
+def test_transitions_keep_events_without_key_or_time(spark):
+    from strata.operators.runs import run_transitions
+
+    rows = [("s", "e", None, "REQUESTED", 1), ("s", "e", "r", "REQUESTED", None), ("s", "e", "r", "REQUESTED", 2)]
+    assert run_transitions(spark.createDataFrame(rows, "source string, entity string, run_id string, status string, at_ms bigint")).count() == 3

@@ -77,6 +77,31 @@ def test_params_of_each_run(spark, tmp_path):
     assert sorted((r.id, r.sym) for r in got.collect()) == [(1, "A"), (2, "B")]
 
 
+def test_messages_land_once_and_streams_keep_apart(spark, tmp_path):
+    base = str(tmp_path)
+
+    def land(checkpoint):
+        stream_bronze(stream(spark, f"{base}/in"), f"{base}/bronze", f"{base}/{checkpoint}", "ts", landed=f"{base}/landed", quarantine=f"{base}/q").awaitTermination()
+        return sorted(r.run_id for r in read_bronze(spark, f"{base}/bronze", BATCH_BRONZE).collect())
+
+    send(spark, f"{base}/in", ("a", '{"i":1}'), ("a", '{"i":1}'), ("b", "oops"))
+    assert land("c1") == ["a"]
+    send(spark, f"{base}/in", ("a", '{"i":1}'), ("c", '{"i":3}'))
+    assert land("c1") == ["a", "c"]
+    # Another checkpoint begins with batch 0 again and is given all messages again.
+    assert land("c2") == ["a", "c"]
+    assert spark.read.parquet(f"{base}/q").count() == 1
+
+
+def test_quarantine_of_two_datasets(spark, tmp_path):
+    from strata.sinks.layers import write_quarantine
+
+    for source in ("x", "y"):
+        for layer in ("bronze", "silver"):
+            write_quarantine(spark.createDataFrame([(source, "e", "r", "in")], "source string, entity string, run_id string, input string"), str(tmp_path), "w-0", layer=layer)
+    assert spark.read.parquet(str(tmp_path)).count() == 4
+
+
 def test_redelivered_messages(spark, tmp_path):
     base = str(tmp_path)
     send(spark, f"{base}/in", ("a", "1"), ("a", "1"), ("b", "2"))
