@@ -20,6 +20,7 @@ shingle are one shingle; rows with the same id are judged by their own texts; id
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -85,7 +86,7 @@ def build_nodes(docs: DataFrame, id_column: str, text: str, width: int) -> DataF
         shingler, seen, repeated, recent, held = Shingler(width), set(), {}, [], 0
         id_type = pa.null()
 
-        def count():
+        def count_repeated():
             """Add the shingles that occur more than once among the recent sets."""
             if recent:
                 values, counts = np.unique(np.concatenate(recent), return_counts=True)
@@ -106,7 +107,7 @@ def build_nodes(docs: DataFrame, id_column: str, text: str, width: int) -> DataF
                         recent.append(hashes)
                         held += len(hashes)
                         if held > 2_000_000:
-                            count()
+                            count_repeated()
                             recent, held = [], 0
                 else:
                     found.append((None, None, 0, None))
@@ -116,7 +117,7 @@ def build_nodes(docs: DataFrame, id_column: str, text: str, width: int) -> DataF
                 [batch.column("id"), batch.column("text_key"), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(n, pa.int32()), pa.array(parts, pa.list_(pa.int32())), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32())],
                 names=["id", "text_key", "node", "node_check", "n", "parts", "shingle", "count"],
             )
-        count()
+        count_repeated()
         m = len(repeated)
         if m:
             yield pa.RecordBatch.from_arrays(
@@ -234,17 +235,15 @@ def _pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def _stars(postings: DataFrame, roots: DataFrame | None, similar: tuple[int, int]) -> DataFrame:
+def _stars(postings: DataFrame, roots: DataFrame | None, similar: tuple[int, int], turn: int) -> DataFrame:
     """Pairs of every node with one node of each of its lists: that with the most rows, which of a family of near copies is
-    the one with the least changes of its own. In later rounds, only pairs from different components and with a
-    node that the components so far let stand for its list."""
+    the one with the least changes of its own. In later turns with a node by chance, and only pairs from different
+    components."""
     if roots is None:
         rank, known = F.struct(F.col("held"), F.col("node"), F.col("n"), F.col("pos"), F.col("node").alias("root")), postings.withColumn("root", F.col("node"))
     else:
         known = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = known.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-        known = known.join(sizes, "root")
-        rank = F.struct(F.col("size"), F.xxhash64("node", "root"), F.col("node"), F.col("n"), F.col("pos"), F.col("root"))
+        rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n"), F.col("pos"), F.col("root"))
     chosen = known.groupBy("h").agg(F.max(rank).alias("top")).select("h", F.col("top.root").alias("a_root"), *[F.col(f"top.{c}").alias(f"a_{c}") for c in ("node", "n", "pos")])
     met = known.select("h", F.col("root").alias("b_root"), *_posting("b")).join(chosen, "h")
     return _pairs(met.where("a_root <> b_root").where(_fits(similar)))
@@ -315,8 +314,8 @@ def linked_documents(docs: DataFrame, id_column: str, text: str, *, width: int =
 
     postings = saved(postings, "postings")
     links = tried = roots = None
-    while True:
-        pairs = _plausible(_stars(postings, roots, similar), reps, similar)
+    for turn in count():
+        pairs = _plausible(_stars(postings, roots, similar, turn), reps, similar)
         pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         new = saved(verified(pairs, texts_of(pairs), width, similar), "links")
         links, tried = (new, pairs) if links is None else (links.union(new), tried.union(pairs))
