@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = links.union(links.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF("node", "other")
         least = both.groupBy("node").agg(F.min("other").alias("_least")).select("node", F.least("node", "_least").alias("_least"))
-        large = both.join(least, "node").where("other > node and other <> _least").select(F.col("other").alias("hi"), F.col("_least").alias("lo")).distinct()
+        large = both.join(least, "node").where("other > node and other <> _least").select(F.col("other").alias("hi"), F.col("_least").alias("lo"))
         below = large.groupBy("hi").agg(F.min("lo").alias("_least"))
         small = large.join(below, "hi")
         starred = small.select(F.when(F.col("lo") == F.col("_least"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("_least").alias("lo"))

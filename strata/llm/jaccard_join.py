@@ -8,9 +8,10 @@
    packed; lists of a single node end there.
 3. Nodes that share a prefix shingle are candidates if their sizes fit (length filter), if enough shingles can follow
    the shared one (positional filter), and if their numbers of shingles between fixed pivots leave room for enough
-   shared ones (suffix filter). First every node meets one node of each of its lists only, in rounds, as long as that
-   joins components and many pairs are left. What these links leave in different components meets in pairs, once, so
-   that no link between components is missed, while the pairs within a large group of copies are never listed.
+   shared ones (suffix filter). First every node meets one node of each of its lists only, in rounds, as long as many
+   pairs of different components are left and a round at least halves them. What these links leave in different
+   components meets in pairs, once, so that no link between components is missed, while the pairs within a large
+   group of copies are never listed.
 4. A candidate pair is verified on the whole texts.
 
 Defined cases: null texts and texts without words have an empty set and link with nothing; texts of fewer words than a
@@ -235,17 +236,13 @@ def _pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def _stars(postings: DataFrame, roots: DataFrame | None, similar: tuple[int, int], turn: int) -> DataFrame:
-    """Pairs of every node with one node of each of its lists: that with the most rows, which of a family of near copies is
-    the one with the least changes of its own. In later turns with a node by chance, and only pairs from different
-    components."""
-    if roots is None:
-        rank, known = F.struct(F.col("held"), F.col("node"), F.col("n"), F.col("pos"), F.col("node").alias("root")), postings.withColumn("root", F.col("node"))
-    else:
-        known = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n"), F.col("pos"), F.col("root"))
-    chosen = known.groupBy("h").agg(F.max(rank).alias("top")).select("h", F.col("top.root").alias("a_root"), *[F.col(f"top.{c}").alias(f"a_{c}") for c in ("node", "n", "pos")])
-    met = known.select("h", F.col("root").alias("b_root"), *_posting("b")).join(chosen, "h")
+def _stars(postings: DataFrame, similar: tuple[int, int], turn: int) -> DataFrame:
+    """Pairs of every node with one node of each of its lists: at first that with the most rows, which of a family of near
+    copies is the one with the least changes of its own, in later turns a node by chance. Pairs of one `root` are known."""
+    rank = F.col("held") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    chosen = postings.groupBy("h").agg(F.max(F.struct(rank.alias("rank"), "node", "n", "pos", "root")).alias("top"))
+    chosen = chosen.select("h", F.col("top.root").alias("a_root"), *[F.col(f"top.{c}").alias(f"a_{c}") for c in ("node", "n", "pos")])
+    met = postings.select("h", F.col("root").alias("b_root"), *_posting("b")).join(chosen, "h")
     return _pairs(met.where("a_root <> b_root").where(_fits(similar)))
 
 
@@ -291,6 +288,11 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int,
     return joined.mapInArrow(verify, "a bigint, b bigint")
 
 
+def _with_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links that give the components of `links` and of those that gave `roots`."""
+    return links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
 def linked_documents(docs: DataFrame, id_column: str, text: str, *, width: int = 5, similar: tuple[int, int] = (3, 4), frequent_most: int = 1 << 17) -> DataFrame:
     """One row per row of docs: id, n_shingles, component (smallest id reachable by links of at least `similar`).
 
@@ -312,26 +314,26 @@ def linked_documents(docs: DataFrame, id_column: str, text: str, *, width: int =
         same = (F.col("text_key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
         return saved(found.join(named, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    postings = saved(postings, "postings")
-    links = tried = roots = None
+    open_lists = saved(postings.withColumn("root", F.col("node")), "postings")
+    roots = tried = left = None
     for turn in count():
-        pairs = _plausible(_stars(postings, roots, similar, turn), reps, similar)
+        pairs = _plausible(_stars(open_lists, similar, turn), reps, similar)
         pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         new = saved(verified(pairs, texts_of(pairs), width, similar), "links")
-        links, tried = (new, pairs) if links is None else (links.union(new), tried.union(pairs))
-        roots = components(links)
-        labelled = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        tried = pairs if tried is None else tried.union(pairs)
+        roots = components(new if roots is None else _with_roots(new, roots))
+        labelled = open_lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = labelled.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("h")
-        apart = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own")).where("n * n > own")
-        open_lists = saved(labelled.join(apart.select("h", F.lit(True).alias("_open")), "h").drop("_open"), "open-lists")
-        left = apart.agg(F.sum(F.col("n") * F.col("n") - F.col("own")), F.sum("n")).first()
-        if (left[0] or 0) <= 16 * (left[1] or 0) or new.isEmpty():
+        apart = sizes.agg(F.sum("n").alias("_all"), F.sum(F.col("n") * F.col("n")).alias("_own")).where("_all * _all > _own")
+        open_lists = saved(labelled.drop("_all", "_own").join(apart, "h"), "open-lists")
+        before, left = left, open_lists.agg(F.sum(F.col("_all") - F.col("_own") / F.col("_all")), F.count(F.lit(1))).first()
+        # Another turn pays while there are many pairs and the turn before has at least halved them.
+        if (left[0] or 0) <= 16 * left[1] or (before is not None and 2 * left[0] > before[0]):
             break
-        postings = open_lists.drop("root")
     a_side, b_side = open_lists.select("h", F.col("root").alias("a_root"), *_posting("a")), open_lists.select("h", F.col("root").alias("b_root"), *_posting("b"))
     across = a_side.join(b_side, "h").where("a_node < b_node and a_root <> b_root").where(_fits(similar))
     pairs = saved(_plausible(_pairs(across).join(tried, ["a", "b"], "left_anti"), reps, similar), "pairs")
-    roots = components(links.union(verified(pairs, texts_of(pairs), width, similar)))
+    roots = components(_with_roots(verified(pairs, texts_of(pairs), width, similar), roots))
 
     whole = nodes.join(roots, "node", "left").select("id", "n", "node", F.coalesce("root", "node").alias("root"))
     smallest = whole.where("root is not null").groupBy("root").agg(F.min("id").alias("component"))
