@@ -9,6 +9,7 @@ from strata.functions import text as tx
 from strata.functions.times import epoch_ms
 from strata.operators import requests as rq
 from strata.operators import runs as rn
+from strata.plans.pipeline import append_run_log, read_run_log
 from strata.plans.spec import datasets_frame, parse_contract
 from strata.plans.workspace import work_dir
 from strata.queries.registry import query, table
@@ -217,6 +218,41 @@ _LINE_LOG = """
 """
 
 
+@query(
+    """
+    SELECT o_orderstatus AS entity, CAST(o_orderkey AS VARCHAR) AS run_id, 'REQUESTED' AS status,
+           CAST(o_orderkey AS BIGINT) AS at_ms, o_orderpriority AS symbol, CAST(NULL AS VARCHAR) AS error
+    FROM orders
+    UNION ALL
+    SELECT o_orderstatus, CAST(o_orderkey AS VARCHAR), 'FAILED', CAST(o_orderkey + 1 AS BIGINT), NULL, 'no "' || o_orderpriority || '"'
+    FROM orders WHERE o_orderstatus = 'F'
+    """
+)
+def run_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and failures written to a log and read again."""
+    path = work_dir(spark, "run-log")
+    priority = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("run_id"), "o_orderkey", "o_orderpriority")
+    runs = _order_requests(spark, sf_dir).join(priority, "run_id").withColumn("params", F.create_map(F.lit("symbol"), "o_orderpriority"))
+    append_run_log(rn.log_requested(runs, F.col("o_orderkey")), path)
+    error = F.concat(F.lit('no "'), F.col("o_orderpriority"), F.lit('"'))
+    append_run_log(rn.log_failed(runs.where("entity = 'F'"), F.col("o_orderkey") + 1, error), path)
+    return read_run_log(spark, path).select(
+        "entity", "run_id", "status", "at_ms", F.col("params")["symbol"].alias("symbol"), F.get_json_object("extra", "$.error").alias("error")
+    )
+
+
+@query("SELECT o_orderstatus AS entity, count(*) AS n_runs, count(*) AS n_ids, count(*) AS n_well_formed FROM orders GROUP BY 1")
+def request_random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids made for requests without one: as many as requests, all in the form of a UUID. Written before they are counted."""
+    path = work_dir(spark, "random-ids")
+    _order_requests(spark, sf_dir).withColumn("run_id", rq.random_run_id()).write.parquet(path)
+    form = F.col("run_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    made = spark.read.schema("source string, entity string, run_id string").parquet(path)
+    return made.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.count_distinct("run_id").alias("n_ids"), F.count_if(form).alias("n_well_formed")
+    )
+
+
 @query(
     """
     SELECT o_orderstatus AS entity, count(*) AS n_runs FROM orders

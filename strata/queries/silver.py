@@ -428,8 +428,9 @@ def silver_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, base, spec, status="F").select(*ORDER_COLUMNS, "region")
 
 
-def _orders_pipeline(spark: SparkSession, sf_dir: str):
+def _orders_pipeline(spark: SparkSession, sf_dir: str, total: Column | None = None):
     """Orders landed as bronze, one run per status, with the run log saying so."""
+    total = F.col("o_totalprice") if total is None else total.alias("o_totalprice")
     spec = schema_of(
         "orders", {"key": "int64", "total": "float64", "status": "string", "dt": "date"},
         {
@@ -445,7 +446,7 @@ def _orders_pipeline(spark: SparkSession, sf_dir: str):
     orders = table(spark, sf_dir, "orders")
     run_id = F.concat(F.lit("run-"), F.col("o_orderstatus"))
     landed = orders.select(
-        "o_orderkey", "o_totalprice", F.lit("shop").alias("source"), F.lit("orders").alias("entity"),
+        "o_orderkey", total, F.lit("shop").alias("source"), F.lit("orders").alias("entity"),
         F.lit("2024-01-05").alias("ingestion_dt"), F.lit("00").alias("ingestion_hr"), run_id.alias("run_id"),
     )
     write_bronze(landed, f"{base}/bronze", cluster=True)
@@ -490,6 +491,38 @@ def silver_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.where("status = 'SILVER_WRITTEN'").select("run_id", "status", "extra")
 
 
+@query(
+    """
+    SELECT 'run-' || o_orderstatus AS run_id, 'SILVER_WRITTEN' AS status, o_orderstatus = 'F' AS is_empty,
+           CAST(count(*) FILTER (o_orderstatus <> 'F') AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS n_rejected
+    FROM orders GROUP BY o_orderstatus
+    UNION ALL
+    SELECT 'run-none', 'SILVER_WRITTEN', true, CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+    """
+)
+def silver_empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose rows are all set aside, a run that landed without rows, and good runs beside them; then nothing is left to do."""
+    total = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))
+    spec, base, requests = _orders_pipeline(spark, sf_dir, total)
+    none = spark.range(1).select(
+        F.lit("shop").alias("source"), F.lit("orders").alias("entity"), F.lit("run-none").alias("run_id"),
+        F.create_map(F.lit("status"), F.lit("none"), F.lit("date"), F.lit("2024-01-05")).alias("params"),
+    )
+    append_run_log(log_status(none, "BRONZE_WRITTEN", 1, params="params"), f"{base}/log")
+    for at_ms in (2, 3):
+        run_silver(
+            spark, spec, requests.unionByName(none), f"{base}/bronze", f"{base}/silver", f"{base}/log",
+            on_error="quarantine", quarantine_base=f"{base}/quarantine", at_ms=at_ms,
+        )
+    kept = spark.read.parquet(f"{base}/quarantine").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rejected"))
+    log = read_run_log(spark, f"{base}/log").where("status = 'SILVER_WRITTEN'").join(kept, "run_id", "left")
+    return log.select(
+        "run_id", "status", F.get_json_object("extra", "$.empty").cast("boolean").alias("is_empty"),
+        F.get_json_object("extra", "$.rows").cast("bigint").alias("n_rows"), F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"),
+    )
+
+
 @query(
     """
     SELECT s_suppkey AS key, s_name AS name, CAST(NULL AS DOUBLE) AS balance, 'one' AS run_id FROM supplier
