@@ -29,28 +29,47 @@ def _cells(payload: Column) -> Column:
     return F.coalesce(fast, by_item)
 
 
+def _item_error(item: Column, pos: Column, columns: Sequence[str]) -> Column:
+    return F.when(item.isNull(), F.concat(F.lit("not a list: "), pos)).when(
+        F.size(item) < len(columns), F.concat(F.lit("too short: "), pos)
+    )
+
+
+def _item_row(item: Column, columns: Sequence[str]) -> Column:
+    # For a repeated name the last position counts.
+    position = {name: i for i, name in enumerate(columns)}
+    cells = [x for name, i in position.items() for x in (F.lit(name), F.get(item, i))]
+    return F.to_variant_object(F.named_struct(*cells))
+
+
+def _listed(df: DataFrame, payload: str, columns: Sequence[str]) -> DataFrame:
+    if not columns:
+        raise SpecError("array_to_object needs columns")
+    return once(df, "_cells", _cells(F.col(payload)))
+
+
+def mapped_payloads(df: DataFrame, payload: str, columns: Sequence[str]) -> DataFrame:
+    """Add ``items``, the objects of a payload of positional arrays, and ``error``, what is wrong with its first bad item."""
+    listed = _listed(df, payload, columns)
+    errors = F.filter(F.transform("_cells", lambda c, i: _item_error(c, i, columns)), lambda e: e.isNotNull())
+    error = F.when(F.col("_cells").isNull(), F.lit("payload is not JSON")).otherwise(F.get(errors, F.lit(0)))
+    items = F.when(F.col("error").isNull(), F.transform("_cells", lambda c: _item_row(c, columns)))
+    return listed.withColumn("error", error).withColumn("items", items).drop("_cells")
+
+
 def mapped_items(df: DataFrame, payload: str, columns: Sequence[str]) -> DataFrame:
     """Explode payloads of positional arrays into objects; ``error`` says why an item is none.
 
     An item needs at least as many values as there are columns; further values are dropped.
     """
-    if not columns:
-        raise SpecError("array_to_object needs columns")
-    listed = once(df, "_cells", _cells(F.col(payload)))
+    listed = _listed(df, payload, columns)
     none = F.array(F.lit(None).cast(_CELLS))
     items = listed.select(
         *df.columns, F.col("_cells").isNotNull().alias("_json"), F.posexplode(F.coalesce("_cells", none)).alias("pos", "_item")
     )
-    size = F.size("_item")
-    error = (
-        F.when(~F.col("_json"), F.lit("payload is not JSON"))
-        .when(F.col("_item").isNull(), F.concat(F.lit("not a list: "), F.col("pos")))
-        .when(size < len(columns), F.concat(F.lit("too short: "), F.col("pos")))
-    )
-    # For a repeated name the last position counts.
-    position = {name: i for i, name in enumerate(columns)}
-    cells = [x for name, i in position.items() for x in (F.lit(name), F.get("_item", i))]
-    row = F.when(size >= len(columns), F.to_variant_object(F.named_struct(*cells)))
+    item = F.col("_item")
+    error = F.when(~F.col("_json"), F.lit("payload is not JSON")).otherwise(_item_error(item, F.col("pos"), columns))
+    row = F.when(F.size(item) >= len(columns), _item_row(item, columns))
     return items.withColumns({"row": row, "error": error}).drop("_json", "_item")
 
 

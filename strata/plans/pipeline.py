@@ -9,17 +9,24 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from strata.operators import runs as rn
-from strata.operators.mapping import mapped_items
+from strata.operators.mapping import mapped_items, mapped_payloads
 from strata.operators.transforms import check_rows
 from strata.plans.spec import Schema
 from strata.plans.workspace import work_dir
-from strata.sinks.layers import write_bronze, write_quarantine, write_silver
-from strata.sources.bronze import BRONZE_PARTITIONS, explode_payload, parse_lines, text_lines, with_ingestion_partitions
+from strata.sinks.layers import ITEM_TEXT, remove_folders, write_bronze, write_quarantine, write_silver
+from strata.sources.bronze import (
+    BRONZE_PARTITIONS,
+    folder_of,
+    parse_lines,
+    text_lines,
+    with_ingestion_partitions,
+    with_payload_items,
+)
 from strata.sources.files import scan_artifacts
 from strata.sources.silver import read_silver
 
@@ -49,8 +56,10 @@ def payload_rows(payloads: DataFrame, mapping_columns: Sequence[str] | None = No
     """Payload items, mapped to objects where the contract says so, with ``error`` for bad ones."""
     if mapping_columns is not None:
         return mapped_items(payloads, "payload", mapping_columns)
-    items = explode_payload(payloads, "payload", "quarantine")
-    return items.withColumn("error", F.when(F.col("row").isNull(), F.lit("payload is not JSON")))
+    checked = with_payload_items(payloads)
+    none = F.array(F.lit(None).cast(checked.schema["items"].dataType.elementType))
+    items = checked.select(*payloads.columns, "error", F.posexplode(F.coalesce("items", none)).alias("pos", "_item"))
+    return items.withColumns({"row": F.col("_item.row"), ITEM_TEXT: F.col("_item.text")}).drop("_item")
 
 
 def land_bronze(
@@ -70,28 +79,43 @@ def land_bronze(
     at_ms = at_ms or now_ms()
     # One payload per run, even where it was delivered twice.
     todo = rn.pending_runs(payloads, read_run_log(spark, log_path), "bronze").dropDuplicates(list(RUN_KEY))
-    rows = payload_rows(todo, mapping_columns)
-    good = rows.where(F.col("error").isNull())
+    placed = _with_fixed_partitions(spark, with_ingestion_partitions(todo, ingested_at), log_path, at_ms)
+    checked = with_payload_items(placed) if mapping_columns is None else mapped_payloads(placed, "payload", mapping_columns)
+    # A payload is good or bad as a whole.
+    failed = _log_failures(checked.where(F.col("error").isNotNull()).select(*RUN_KEY, "error"), log_path, at_ms)
+    good = checked.where(F.col("error").isNull()).drop("error", "payload")
+    rows = good.select(*[c for c in good.columns if c != "items"], F.posexplode("items").alias("pos", "row"))
     if mapping_columns is None:
-        # A payload is good or bad as a whole, so bad ones can be logged after the write.
-        observed = Observation()
-        counted = rows.observe(observed, F.count_if(F.col("error").isNotNull()).alias("bad"))
-        good = counted.where(F.col("error").isNull())
-        bad = None
-    else:
-        bad = _log_bad_payloads(rows, log_path, at_ms)
-        good = good.join(bad, list(RUN_KEY), "left_anti")
-    write_bronze(with_ingestion_partitions(good.drop("error", "payload"), ingested_at), base)
-    if bad is None and observed.get["bad"]:
-        bad = _log_bad_payloads(rows, log_path, at_ms)
-    done = todo if bad is None else todo.join(bad, list(RUN_KEY), "left_anti")
+        rows = rows.withColumns({ITEM_TEXT: F.col("row.text"), "row": F.col("row.row")})
+    write_bronze(rows, base)
+    done = todo.join(failed, list(RUN_KEY), "left_anti")
     append_run_log(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path)
 
 
-def _log_bad_payloads(checked: DataFrame, log_path: str, at_ms: int) -> DataFrame:
-    """Log runs with a bad item as failed and return them."""
-    bad = checked.where(F.col("error").isNotNull()).groupBy(*RUN_KEY).agg(F.min("error").alias("error"))
-    return _log_failures(bad, log_path, at_ms)
+def attempts_path(log_path: str) -> str:
+    """Where the first attempts of landings are kept: beside the run log, since they are no state of a run."""
+    return log_path.rstrip("/") + "_attempts"
+
+
+def _with_fixed_partitions(spark: SparkSession, todo: DataFrame, log_path: str, at_ms: int) -> DataFrame:
+    """Give every run the day and hour of its first attempt, which is kept before anything is written, so that an
+    attempt after a crash replaces the folder of the one before instead of adding another."""
+    levels, path = ["ingestion_dt", "ingestion_hr"], attempts_path(log_path)
+    ddl = "source string, entity string, run_id string, at_ms bigint, ingestion_dt string, ingestion_hr string"
+
+    def first_attempts() -> DataFrame:
+        try:
+            kept = spark.read.schema(ddl).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            kept = spark.createDataFrame([], ddl)
+        return kept.groupBy(*RUN_KEY).agg(F.min(F.struct("at_ms", *levels)).alias("_first"))
+
+    new = todo.join(first_attempts(), list(RUN_KEY), "left_anti")
+    new.select(*RUN_KEY, F.lit(at_ms).cast("bigint").alias("at_ms"), *levels).write.mode("append").parquet(path)
+    joined = todo.drop(*levels).join(first_attempts(), list(RUN_KEY))
+    return joined.withColumns({c: F.col(f"_first.{c}") for c in levels}).drop("_first")
 
 
 def _log_failures(failed: DataFrame, log_path: str, at_ms: int) -> DataFrame:
@@ -116,12 +140,15 @@ def run_silver(
     force: bool = False,
     logical_types: bool = False,
     at_ms: int | None = None,
+    tried: DataFrame | None = None,
+    dead_letter_base: str | None = None,
 ) -> None:
     """Transform every landed run that is not in silver yet, and log each run.
 
     A bad row fails the job (``fail``), fails its run and no other (``fail_run``), or is set aside
     (``quarantine``). Bronze is read once, and a second time for ``fail_run`` and ``quarantine``. ``force`` redoes
-    finished runs.
+    finished runs, and removes the folders that a run had and has no more. Only folders of this dataset are listed.
+    ``tried`` says how often the rows of a run were tried before; ``retry_silver`` gives it.
     """
     if on_error not in ("fail", "fail_run", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -134,8 +161,9 @@ def run_silver(
     todo = own.select(*RUN_KEY, "params").join(landed, list(RUN_KEY), "left_semi")
     if not force:
         todo = rn.pending_runs(todo, log, "silver")
-    lines = text_lines(spark, bronze_base, BRONZE_PARTITIONS)
-    lines = lines.where((F.col("source") == schema.source) & (F.col("entity") == schema.entity))
+    own_bronze = folder_of(bronze_base, source=schema.source, entity=schema.entity)
+    lines = text_lines(spark, own_bronze, BRONZE_PARTITIONS, bronze_base)
+    before = _files_of(spark, schema, todo, silver_base) if force else None
     rows = parse_lines(rn.rows_with_run_params(lines.drop("ingestion_dt", "ingestion_hr"), todo))
     carry = [*RUN_KEY, "params"]
     checked = check_rows(rows, schema, params_col="params", carry=carry, logical_types=logical_types)
@@ -149,18 +177,81 @@ def run_silver(
             good = checked.accepted().join(failed, list(RUN_KEY), "left_anti")
         else:
             # Rejected rows are set aside first: a run is not logged as done before they are kept.
-            write_quarantine(checked.rejected(), quarantine_base, f"{at_ms}-{job}")
+            rejected = checked.rejected()
+            if tried is not None:
+                rejected = rejected.join(tried, list(RUN_KEY), "left")
+                rejected = rejected.withColumn("attempt", F.coalesce("_tried", F.lit(0)) + 1).drop("_tried")
+                write_quarantine(rejected.where(F.col("attempt") >= MAX_ATTEMPTS), dead_letter_base, f"{at_ms}-{job}")
+                rejected = rejected.where(F.col("attempt") < MAX_ATTEMPTS)
+            write_quarantine(rejected, quarantine_base, f"{at_ms}-{job}")
             good = checked.accepted()
         write_silver(_deduplicated(good, schema), silver_base, schema, params_col="params")
     except Exception as error:
         append_run_log(rn.log_failed(todo, at_ms, F.lit(str(error))), log_path)
         raise
+    if before is not None:
+        left = _files_of(spark, schema, todo, silver_base).join(before, "file", "left_semi")
+        remove_folders(spark, (r["folder"] for r in left.select("folder").distinct().toLocalIterator()))
     finished = todo
     if on_error == "fail_run":
         finished = todo.join(failed, list(RUN_KEY), "left_anti")
     append_run_log(_silver_events(spark, schema, finished, silver_base, at_ms), log_path)
 
 
+def _files_of(spark: SparkSession, schema: Schema, runs: DataFrame, silver_base: str) -> DataFrame:
+    """The silver files of runs, written down, since they may go."""
+    path = F.col("_metadata.file_path")
+    try:
+        rows = read_silver(spark, silver_base, schema).select(*RUN_KEY, path.alias("file"))
+        found = rows.join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi").select("file").distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "file string")
+    folder = F.url_decode(F.regexp_replace(F.regexp_extract("file", "^(.*)/[^/]*$", 1), "\\+", "%2B"))
+    kept = work_dir(spark, "files")
+    found.select("file", folder.alias("folder")).write.parquet(kept)
+    return spark.read.schema("file string, folder string").parquet(kept)
+
+
+def retry_silver(
+    spark: SparkSession,
+    schema: Schema,
+    requests: DataFrame,
+    bronze_base: str,
+    silver_base: str,
+    log_path: str,
+    quarantine_base: str,
+    dead_letter_base: str,
+    **options,
+) -> None:
+    """Redo the runs that have rows in quarantine, with the spec as it is now.
+
+    A run is redone from bronze as a whole and replaces its folders, so that mended rows arrive once however often this is
+    repeated. Rows that fail again go back with one attempt more, and from the fifth on to the dead letters; what was in
+    quarantine before is removed at the end.
+    """
+    own = folder_of(quarantine_base, source=schema.source, entity=schema.entity, layer="silver")
+    try:
+        ddl = "run_id string, source string, entity string, layer string, attempt int, batch_id string"
+        kept = spark.read.schema(ddl).option("basePath", quarantine_base).parquet(own)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    folder = work_dir(spark, "tried")
+    kept.groupBy(*RUN_KEY).agg(F.max("attempt").alias("_tried")).write.parquet(folder)
+    tried = spark.read.schema("source string, entity string, run_id string, _tried int").parquet(folder)
+    batches = kept.select("attempt", "batch_id").distinct().toLocalIterator()
+    old = [folder_of(own, attempt=str(r["attempt"]), batch_id=r["batch_id"]) for r in batches]
+    again = requests.join(tried.select(*RUN_KEY), list(RUN_KEY), "left_semi")
+    run_silver(
+        spark, schema, again, bronze_base, silver_base, log_path, "quarantine", quarantine_base,
+        force=True, tried=tried, dead_letter_base=dead_letter_base, **options,
+    )
+    remove_folders(spark, old)
+
+
 def _deduplicated(good: DataFrame, schema: Schema) -> DataFrame:
     """The ``deduplicate`` key: one row per key and run; ``true`` means the declared unique key."""
     from strata.operators.keys import deduplicate
@@ -217,6 +308,7 @@ __all__ = [
     "payload_rows",
     "read_run_log",
     "retry_quarantine",
+    "retry_silver",
     "run_silver",
     "verify_runs",
 ]

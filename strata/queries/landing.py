@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.mapping import array_to_object
+from strata.plans.pipeline import attempts_path, land_bronze
 from strata.plans.workspace import work_dir
 from strata.queries.registry import query, table
 from strata.sinks.layers import write_bronze
-from strata.sources.bronze import explode_payload, parse_lines, read_bronze, with_ingestion_partitions
+from strata.sources.bronze import (
+    BRONZE_PARTITIONS,
+    explode_payload,
+    parse_lines,
+    read_bronze,
+    text_lines,
+    with_ingestion_partitions,
+)
 from strata.sources.files import build_manifest, config_inventory, folder_value, inventory_row, text_manifest
 
 
@@ -134,6 +142,30 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_manifest(table(spark, sf_dir, "pages"), ["page_id"], "html")
 
 
+@query(
+    """
+    SELECT 'n-' || n_nationkey AS run_id, '10' AS ingestion_hr, '{"nation":' || n_nationkey || ',"share":' || n_nationkey || '.0}' AS line
+    FROM nation
+    """
+)
+def land_retry_next_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations landed as one run each; the job ends before it is logged, and is repeated an hour later: every line is there
+    once, below the hour of the first attempt, with its numbers as they were."""
+    base, key = work_dir(spark, "nation-landing"), F.col("n_nationkey")
+    payload = F.concat(F.lit('[{"nation":'), key, F.lit(',"share":'), key, F.lit(".0}]"))
+    payloads = table(spark, sf_dir, "nation").select(
+        F.lit("world").alias("source"), F.lit("nation").alias("entity"), F.concat(F.lit("n-"), key).alias("run_id"),
+        F.create_map(F.lit("date"), F.lit("2024-01-05")).alias("params"), payload.alias("payload"),
+    )
+    for log, hour in (("lost", 10), ("log", 11)):
+        at = F.lit(f"2024-01-05 {hour}:30:00").cast("timestamp_ntz")
+        land_bronze(spark, payloads.withColumn("at", at), f"{base}/bronze", f"{base}/{log}", "at", at_ms=hour)
+        if log == "lost":
+            spark.read.parquet(attempts_path(f"{base}/lost")).write.parquet(attempts_path(f"{base}/log"))
+    lines = text_lines(spark, f"{base}/bronze", BRONZE_PARTITIONS)
+    return lines.select("run_id", "ingestion_hr", F.col("value").alias("line"))
+
+
 def _land_customers(spark: SparkSession, sf_dir: str) -> str:
     """Customers as bronze lines, one run per market segment."""
     base = work_dir(spark, "customers-bronze")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from strata.operators.keys import deduplicate, unique_key_violations
 from strata.operators.runs import log_status
 from strata.functions.times import epoch_ms
 from strata.operators.transforms import apply_transforms, check_rows
-from strata.plans.pipeline import append_run_log, read_run_log, run_silver
+from strata.plans.pipeline import append_run_log, read_run_log, retry_silver, run_silver
 from strata.plans.spec import Schema, parse_schema
 from strata.plans.workspace import work_dir
 from strata.queries.registry import query, table
@@ -523,6 +524,42 @@ def silver_empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT 'run-' || o_orderstatus AS run_id, o_orderkey AS key, o_totalprice AS total, lower(o_orderstatus) AS status
+    FROM orders
+    """
+)
+def silver_forced_new_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs done again by force with a spec that moves their rows to other folders: none stays behind."""
+    spec, base, requests = _orders_pipeline(spark, sf_dir)
+    old = replace(spec, by_columns=("status",))
+    new = replace(old, transforms={**old.transforms, "lower": ["status"]})
+    folders = {"bronze_base": f"{base}/bronze", "silver_base": f"{base}/silver", "log_path": f"{base}/log"}
+    run_silver(spark, old, requests, **folders, at_ms=2)
+    run_silver(spark, new, requests, **folders, at_ms=3, force=True)
+    return read_silver(spark, f"{base}/silver", new).select("run_id", "key", "total", "status")
+
+
+@query(
+    """
+    SELECT 'run-' || o_orderstatus AS run_id, o_orderkey AS key,
+           CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS total, o_orderstatus AS status
+    FROM orders
+    """
+)
+def silver_retry_mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows set aside for a missing value arrive once after the spec allows it, and quarantine is empty then."""
+    total = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))
+    spec, base, requests = _orders_pipeline(spark, sf_dir, total)
+    mended = replace(spec, transforms={**spec.transforms, "non_null": ["key"]})
+    layers, aside = (f"{base}/bronze", f"{base}/silver", f"{base}/log"), f"{base}/quarantine"
+    run_silver(spark, spec, requests, *layers, on_error="quarantine", quarantine_base=aside, at_ms=2)
+    for at_ms in (3, 4):
+        retry_silver(spark, mended, requests, *layers, aside, f"{base}/dead", at_ms=at_ms)
+    return read_silver(spark, f"{base}/silver", mended).select("run_id", "key", "total", "status")
+
+
 @query(
     """
     SELECT s_suppkey AS key, s_name AS name, CAST(NULL AS DOUBLE) AS balance, 'one' AS run_id FROM supplier

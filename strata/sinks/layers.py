@@ -6,16 +6,18 @@ repeating a failed write leaves no duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans.spec import Schema, SpecError
 from strata.sources.bronze import BRONZE_PARTITIONS
 
+# A column with the JSON text of a payload item as it was delivered.
+ITEM_TEXT = "_item_text"
 # Keeps a file well below the size a whole-file digest can hold in one row.
 MAX_RECORDS_PER_FILE = 1_000_000
 
@@ -32,6 +34,14 @@ def _cluster(df: DataFrame, partitions: Sequence[str], salts: int | None = None)
     return df.repartition(*[F.col(f"`{p}`") for p in partitions], F.pmod(F.spark_partition_id(), F.lit(salts)))
 
 
+def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders that a later write has made obsolete."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        folder = files.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _write(
     df: DataFrame, base: str, file_format: str, partitions: Sequence[str], max_records: int, **options: Any
 ) -> None:
@@ -73,7 +83,11 @@ def write_bronze(
     if missing:
         raise ValueError(f"bronze rows lack {missing}")
     carry = [*partitions, "pos", "params"]
-    lines = df.select(to_json_line(df, "row", carry).alias("value"), *partitions)
+    line = to_json_line(df, "row", carry)
+    if ITEM_TEXT in df.columns:
+        # Objects are written as they came.
+        line = F.when(F.col(ITEM_TEXT).startswith("{") & (F.schema_of_variant("row") != "STRING"), F.col(ITEM_TEXT)).otherwise(line)
+    lines = df.select(line.alias("value"), *partitions)
     _write(_cluster(lines, partitions, salts) if cluster else lines, base, "text", partitions, max_records)
 
 

@@ -6,6 +6,7 @@ an absent key stays apart from a null one.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +55,30 @@ def with_json_object(df: DataFrame, text: str, name: str = "row") -> DataFrame:
     return strict.withColumn(name, F.coalesce(name, F.when(is_object, _lenient_object(value))))
 
 
-def text_lines(spark: SparkSession, path: str | list[str], partitions: tuple[str, ...] = ()) -> DataFrame:
-    """Text lines plus string-typed partition columns (inference would turn hour 00 into 0)."""
+def folder_of(base: str, **levels: str) -> str:
+    """The path of partition folders below a base, with values escaped as Spark writes them."""
+
+    def escaped(value: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or c < " " or c == "\x7f" else c for c in value)
+
+    return "/".join([base.rstrip("/"), *(f"{name}={escaped(value)}" for name, value in levels.items())])
+
+
+def text_lines(
+    spark: SparkSession, path: str | list[str], partitions: tuple[str, ...] = (), base: str | None = None
+) -> DataFrame:
+    """Text lines plus string-typed partition columns (inference would turn hour 00 into 0). With ``base``, ``path`` may be
+    a folder below it, and is the only one listed; without any folder there are no lines."""
     ddl = ", ".join(["value string", *(f"`{p}` string" for p in partitions)])
-    return spark.read.schema(ddl).text(path)
+    reader = spark.read.schema(ddl)
+    if base is None:
+        return reader.text(path)
+    try:
+        return reader.option("basePath", base).text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -105,6 +126,23 @@ def payload_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     return once(df, "items", payload_values(F.col(payload)))
 
 
+def item_texts(payload: Column) -> Column:
+    """The items of a payload as JSON texts with numbers as they were delivered (a VARIANT turns 5.0 into 5), for items
+    that are objects; those of other items are of no use."""
+    options = {"allowSingleQuotes": "false"}
+    listed = F.from_json(payload, "array<string>", options)
+    single = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<string>", options)
+    return F.when(F.ltrim(payload, F.lit(_JSON_SPACE)).startswith("["), listed).otherwise(single)
+
+
+def with_payload_items(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Add ``items``, structs of row and text, and ``error``."""
+    parsed = once(payload_items(df, payload), "_texts", item_texts(F.col(payload)))
+    zipped = F.transform("items", lambda row, i: F.struct(row.alias("row"), F.get(F.col("_texts"), i).alias("text")))
+    error = F.when(F.col("items").isNull(), F.lit("payload is not JSON"))
+    return parsed.withColumn("error", error).withColumn("items", zipped).drop("_texts")
+
+
 def explode_payload(df: DataFrame, payload: str = "payload", on_error: str = "fail") -> DataFrame:
     """One row per item of a payload list, any other payload as one row, none for an empty list.
 

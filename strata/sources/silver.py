@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from strata.functions.casts import storage_type
 from strata.plans.spec import Schema
 from strata.sinks.layers import silver_partitions
+from strata.sources.bronze import folder_of
 
 
 def silver_struct(schema: Schema, logical_types: bool = False, extra_partitions: Sequence[str] = ()) -> T.StructType:
@@ -31,7 +32,7 @@ def silver_struct(schema: Schema, logical_types: bool = False, extra_partitions:
 
 
 def dataset_path(base: str, schema: Schema) -> str:
-    return f"{base.rstrip('/')}/source={schema.source}/entity={schema.entity}"
+    return folder_of(base, source=schema.source, entity=schema.entity)
 
 
 def read_silver(
@@ -55,7 +56,9 @@ def merged_silver(spark: SparkSession, base: str, path: str | None = None) -> Da
     """A dataset without a spec: the union of the columns of all files, folder columns as text."""
     found = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(path or base)
     # Folder columns come last; read again with their types fixed to text.
-    folders = {p.split("=")[0] for f in found.limit(1).inputFiles() for p in f.split("/") if "=" in p}
+    first = found.select(F.col("_metadata.file_path").alias("path")).first()
+    below = "" if first is None else first["path"].partition(base.rstrip("/"))[2]
+    folders = {p.split("=")[0] for p in below.split("/")[:-1] if "=" in p}
     fields = [T.StructField(f.name, T.StringType()) if f.name in folders else f for f in found.schema.fields]
     return spark.read.schema(T.StructType(fields)).option("basePath", base).parquet(path or base)
 

@@ -235,3 +235,45 @@ def test_quarantine_without_work_and_without_good_rows(spark, tmp_path):
         run_silver(spark, spec, requests, f"{base}/bronze", f"{base}/silver", f"{base}/log", on_error="quarantine", quarantine_base=f"{base}/q")
     assert spark.read.parquet(f"{base}/q").count() == 1
     assert [r.status for r in read_run_log(spark, f"{base}/log").orderBy("at_ms").collect()] == ["BRONZE_WRITTEN", "SILVER_WRITTEN"]
+
+
+def test_a_landing_repeated_after_a_crash_replaces_the_first(spark, tmp_path, monkeypatch):
+    flow = Flow(spark, tmp_path)
+    first = payloads(spark, a='[{"i":1,"v":5.0}, {"i":2,"v":[1.10,1e5,-0.0]}]', b='{"i":3,"v":"{"}', c='["{", 7.0]')
+    with monkeypatch.context() as crash:
+        crash.setattr(pl.rn, "log_status", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pl.land_bronze(spark, first.where("run_id <> 'none'"), f"{tmp_path}/bronze", flow.log, "at", at_ms=1)
+    hour_later = first.withColumn("at", F.expr("at + interval 1 hour"))
+    flow.land(hour_later, at_ms=2)
+    lines = spark.read.text(f"{tmp_path}/bronze")
+    assert sorted((r.run_id, r.value) for r in lines.collect()) == [
+        ("a", '{"i":1,"v":5.0}'), ("a", '{"i":2,"v":[1.1,100000.0,-0.0]}'), ("b", '{"i":3,"v":"{"}'), ("c", '"{"'), ("c", "7"),
+    ]
+
+
+def test_a_forced_rerun_leaves_no_stale_folder(spark, tmp_path):
+    flow = Flow(spark, tmp_path)
+    old = Schema(1, "t", "s", "e", {"id": "string", "k": "string"}, {}, (), ("k",))
+    new = Schema(1, "t", "s", "e", {"id": "string", "k": "string"}, {"lower": ["k"]}, (), ("k",))
+    df = payloads(spark, **{"a+b c": '[{"id":"1","k":"X+ Y"}]', "other": '[{"id":"2","k":"X+ Y"}]'})
+    flow.land(df, at_ms=1)
+    flow.silver(df, at_ms=2, spec=old)
+    flow.silver(df.where("run_id <> 'other'"), at_ms=3, spec=new, force=True)
+    assert flow.rows(old) == [("a+b c", "1", "x+ y"), ("other", "2", "X+ Y")]
+
+
+def test_retries_end_in_silver_or_dead_letters(spark, tmp_path):
+    flow, q, dead = Flow(spark, tmp_path), f"{tmp_path}/q", f"{tmp_path}/dead"
+    df = payloads(spark, **BAD)
+    flow.land(df, at_ms=1)
+    flow.silver(df, at_ms=2, on_error="quarantine", quarantine_base=q)
+    places = (f"{tmp_path}/bronze", f"{tmp_path}/silver", flow.log, q, dead)
+    pl.retry_silver(spark, SPEC, df, *places, at_ms=3)
+    assert [(r.run_id, r.attempt) for r in spark.read.parquet(q).collect()] == [("a", 2)]
+    pl.write_quarantine(spark.read.parquet(q).drop("layer", "batch_id").withColumn("attempt", F.lit(4)), q, "late")
+    pl.retry_silver(spark, SPEC, df, *places, at_ms=4)
+    assert [(r.run_id, r.input, r.attempt) for r in spark.read.parquet(dead).collect()] == [("a", '{"i":"x","v":1}', 5)]
+    assert not list((tmp_path / "q").rglob("*.parquet"))
+    assert flow.rows() == [("a", 1, 1.0, "2024-01-05"), ("b", 3, 3.0, "2024-01-05")]
+    pl.retry_silver(spark, SPEC, df, *places, at_ms=5)  # nothing is left
