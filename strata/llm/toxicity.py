@@ -2,8 +2,10 @@
 
 A text is the set of its words and of their beginnings. A logistic model with L1 and L2 penalties is fitted on a bounded sample of labelled texts. For
 every sampled text with an identity term, copies are made in which the term is replaced by another term of its
-group or by a neutral word, and the squared change of the model's logit between text and copy is penalised. The
-model then can't lean on the mention of a group, and neutral mentions keep a low score.
+group or by a neutral word, and the squared change of the model's logit between text and copy is penalised, with all
+features that the swap takes away or brings, beginnings included. Neutral words have no features, so that the logit of
+a mention is held to that of no mention. The model then can't lean on the mention of a group, and neutral mentions
+keep a low score.
 
 Only words travel: tasks turn sampled texts into hashes of words, the driver fits weights, and scoring uses the few words
 with a weight. Labels, language, source and ids are never features.
@@ -64,10 +66,12 @@ def features_of(words: set[bytes]) -> set[bytes]:
 class Model:
     bias: float
     weights: dict[bytes, float]
+    #: Words without features.
+    neutral: frozenset[bytes] = frozenset()
 
     def score(self, text: bytes) -> float:
         weights = self.weights
-        logit = self.bias + sum(weights[w] for w in sorted(features_of(word_set(text)) & weights.keys()))
+        logit = self.bias + sum(weights[w] for w in sorted(features_of(word_set(text) - self.neutral) & weights.keys()))
         return 1 / (1 + math.exp(-min(max(logit, -500.0), 500.0)))
 
 
@@ -76,10 +80,18 @@ def swaps(present: set, groups: list[list]) -> list[tuple]:
     return [(term, other) for group in groups for term in group if term in present for other in group if other != term]
 
 
+def swapped_features(words: set[bytes], groups: list[list[bytes]], neutral: frozenset[bytes]) -> Iterator[tuple[set[bytes], set[bytes]]]:
+    """For each swap of a text the features that it loses and those that it gains; what other words keep is in neither."""
+    own = features_of(words - neutral)
+    for term, other in swaps(words, groups):
+        copy = features_of((words - {term} | {other}) - neutral)
+        yield own - copy, copy - own
+
+
 def fit(
     features: list[np.ndarray],
     labels: np.ndarray,
-    changes: list[tuple[int, int]],
+    changes: list[tuple[tuple[int, ...], tuple[int, ...]]],
     n_features: int,
     *,
     l1: float = 5e-4,
@@ -89,28 +101,32 @@ def fit(
 ) -> tuple[float, np.ndarray]:
     """Bias and weights by accelerated proximal gradient descent.
 
-    features: ids of the words of each text; changes: pairs of ids that are swapped, each as often as that occurs. Minimised is
-    the sum over texts of the logistic loss, of l1 and l2 times the weights' norms, and `counterfactual` times the
-    squared changes. The bias is one more feature, which every text has and no penalty holds.
+    features: ids of the features of each text; changes: for each swap the ids that are lost and those that are gained, each
+    swap as often as it occurs. Minimised is the sum over texts of the logistic loss, of l1 and l2 times the weights'
+    norms, and `counterfactual` times the squared changes of the logit. The bias is one more feature, which every text has and no penalty holds.
     """
     m = len(labels)
     texts = np.repeat(np.arange(m), [len(f) + 1 for f in features])
     words = np.concatenate([np.append(f, n_features) for f in features]).astype(np.int64)
-    pairs, times = np.unique(np.array(changes, np.int64).reshape(-1, 2), axis=0, return_counts=True)
+    distinct = Counter(changes)
+    times = np.array(list(distinct.values()), np.int64)
+    sizes = np.array([len(lost) + len(gained) for lost, gained in distinct], np.int64)
+    swap = np.repeat(np.arange(len(distinct)), sizes)
+    parts = np.array([i for lost, gained in distinct for i in (*lost, *gained)], np.int64)
+    signs = np.array([sign for lost, gained in distinct for sign in (*[1.0] * len(lost), *[-1.0] * len(gained))])
     # Scaled by how much each weight bends the sum, one step size fits rare, frequent and swapped words.
-    bend = np.bincount(words, minlength=n_features + 1) + 8 * counterfactual * sum(np.bincount(pairs[:, i], times, n_features + 1) for i in (0, 1))
+    bend = np.bincount(words, minlength=n_features + 1) + 4 * counterfactual * np.bincount(parts, (times * sizes)[swap], n_features + 1)
     scale = 1 / np.sqrt(np.maximum(bend, 1.0))
     free = np.append(np.ones(n_features), 0.0)
 
     def loss_and_slope(u: np.ndarray) -> tuple[float, np.ndarray]:
         w = u * scale
         logits = np.bincount(texts, w[words], minlength=m)
-        gap = w[pairs[:, 0]] - w[pairs[:, 1]]
+        gap = np.bincount(swap, signs * w[parts], minlength=len(times))
         loss = np.sum(np.logaddexp(0, logits) - labels * logits) + l2 * m / 2 * np.sum(free * w**2) + counterfactual * np.sum(times * gap**2)
         wrong = 1 / (1 + np.exp(-np.clip(logits, -500, 500))) - labels
         slope = np.bincount(words, wrong[texts], minlength=n_features + 1) + l2 * m * free * w
-        for side, sign in ((0, 1), (1, -1)):
-            slope += 2 * counterfactual * sign * np.bincount(pairs[:, side], times * gap, minlength=n_features + 1)
+        slope += 2 * counterfactual * np.bincount(parts, signs * (times * gap)[swap], minlength=n_features + 1)
         return loss, slope * scale
 
     u = ahead = np.zeros(n_features + 1)
@@ -179,7 +195,10 @@ def train(
     y = (rows["label"].to_numpy() > 0).astype(float)
     if y.min() == y.max():
         return Model(500.0 if y[0] else -500.0, {})
-    sets = [features_of(set(words.split(b"\n"))) for words in rows["words"]]
+    terms = [[t.encode() for t in group] for group in groups]
+    neutral = frozenset(group[-1] for group in terms)
+    texts = [set(words.split(b"\n")) for words in rows["words"]]
+    sets = [features_of(own - neutral) for own in texts]
     counts = [Counter(), Counter()]
     for own, toxic in zip(sets, y):
         counts[0].update(own)
@@ -187,15 +206,15 @@ def train(
             counts[1].update(own)
     expected = {w: n * y.mean() for w, n in counts[0].items() if n >= least_texts and w}
     telling = {w for w, e in expected.items() if (counts[1][w] - e) ** 2 >= least_chi2 * e * (1 - y.mean())}
-    terms = [[t.encode() for t in group] for group in groups]
-    identity = {t for group in terms for t in group}
+    identity = features_of({t for group in terms for t in group} - neutral)
     vocabulary = {w: i for i, w in enumerate(sorted(telling | identity))}
+    ids = lambda own: [vocabulary[w] for w in sorted(own & vocabulary.keys())]
     features, changes = [], []
-    for present in sets:
-        features.append(np.array([vocabulary[w] for w in sorted(present & vocabulary.keys())], np.int64))
-        changes += [(vocabulary[a], vocabulary[b]) for a, b in swaps(present & identity, terms)]
+    for words, present in zip(texts, sets):
+        features.append(np.array(ids(present), np.int64))
+        changes += [(tuple(ids(lost)), tuple(ids(gained))) for lost, gained in swapped_features(words, terms, neutral)]
     bias, weights = fit(features, y, changes, len(vocabulary), counterfactual=counterfactual)
-    return Model(bias, {w: float(weights[i]) for w, i in vocabulary.items() if weights[i]})
+    return Model(bias, {w: float(weights[i]) for w, i in vocabulary.items() if weights[i]}, neutral)
 
 
 def score_texts(docs: DataFrame, text: str, model: Model, name: str = "score") -> DataFrame:

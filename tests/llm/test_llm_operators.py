@@ -22,7 +22,7 @@ from strata.llm.queries import LONGEST_REPEAT, tokenizer_path
 from strata.llm.repetition import repetition
 from strata.llm.token_counts import Counter as TokenCounter
 from strata.llm.token_counts import load, token_counts
-from strata.llm.toxicity import IDENTITY_GROUPS, fit, score_texts, swaps, train
+from strata.llm.toxicity import IDENTITY_GROUPS, fit, score_texts, swapped_features, swaps, train
 
 
 @pytest.fixture(scope="module")
@@ -298,6 +298,26 @@ def test_counterfactuals(spark):
     assert len(weights) == 0 and bias < 0
 
 
+def test_counterfactuals_of_beginnings(spark):
+    rng, rows = random.Random(8), []
+    for i in range(2000):
+        toxic, words = rng.random() < 0.4, data.prose(rng, 12).split(" ")
+        if toxic and rng.random() < 0.5:
+            words.append(rng.choice(["idiot", "scum"]))
+        if rng.random() < (0.8 if toxic else 0.02):
+            words.append("muslims")
+        rows.append((i, " ".join(words), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    plain, fair = (train(frame, frame.select("doc_id", "toxic"), counterfactual=c) for c in (0.0, 1.0))
+    neutral = [f"the {w} were here".encode() for w in ("muslims", "christians", "jews", "people")]
+    assert plain.score(neutral[0]) > 0.5
+    scores = [fair.score(t) for t in neutral]
+    assert max(scores) < 0.5 and max(scores) - min(scores) < 0.05
+    assert fair.score(b"what an idiot") > 0.5
+    found = {t: c for t, c in zip(swaps({b"muslims", b"muslimische"}, [[b"muslims", b"people"]]), swapped_features({b"muslims", b"muslimische"}, [[b"muslims", b"people"]], frozenset([b"people"])))}
+    assert found == {(b"muslims", b"people"): ({b"muslims"}, set())}
+
+
 # 9 ----------------------------------------------------------------------------------------------------
 
 
