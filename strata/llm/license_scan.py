@@ -21,53 +21,130 @@ from strata.llm.common import ascii_lower
 #: Identifiers and sentences as licences and notices print them.
 SENTENCES = [
     ("ApacheLicensed", "Licensed under the Apache License, Version 2.0"),
+    ("ApacheLicensed", "Licensed under the Apache License, Version 2.0 (the \"License\")"),
+    ("ApacheLicensed", "The ASF licenses this file to You under the Apache License, Version 2.0 (the \"License\")"),
+    ("ApacheLicensed", "This file is licensed to You under the Apache License, Version 2.0 (the \"License\")"),
+    ("ApacheTitle", "Apache License Version 2.0, January 2004"),
+    ("ApacheTitle", "Apache License Version 2.0, January 2004 http"),
+    ("ApacheTitle", "Apache License Version 2.0, January 2004 https"),
     ("ApacheMayNotUse", "you may not use this file except in compliance with the License"),
     ("ApacheCopy", "You may obtain a copy of the License at"),
+    ("ApacheCopy", "You may obtain a copy of the License at http"),
+    ("ApacheCopy", "You may obtain a copy of the License at https"),
+    ("ApacheUnless", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
     ("ApacheUnless", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS"),
     ("ApacheSee", "See the License for the specific language governing permissions and limitations under the License"),
     ("MITReleased", "Released under the MIT License"),
     ("MITLicensed", "Licensed under the MIT License"),
     ("MITPermission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MITPermission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("MIT0Permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
+    ("MITNotice", "The above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial portions of the Software"),
     ("MITNotice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
     ("MITAsIs", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    ("MITAsIs", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NON-INFRINGEMENT"),
+    ("MITLiability", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
+    ("ISCPermission", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISCPermission", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0BSDPermission", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("ISCAsIs", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS"),
+    ("ZlibPermission", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("BoostPermission", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following"),
+    ("BoostLicensed", "Distributed under the Boost Software License, Version 1.0"),
     ("GPL3Licensed", "This work is licensed under the GNU General Public License, version 3"),
     ("GPLFree", "This program is free software"),
+    ("GPLFree", "This library is free software"),
+    ("GPLFree", "This file is free software"),
     ("GPL3Redistribute", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("GPL2Redistribute", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version"),
+    *[
+        (f"{family}{number}{kind}", f"you can redistribute it and/or modify it under the terms of the GNU {name} Public License as published by the Free Software Foundation, {words}")
+        for family, name, number, version in [("GPL", "General", "2", "2"), ("GPL", "General", "3", "3"), ("LGPL", "Lesser General", "21", "2.1"), ("LGPL", "Lesser General", "3", "3"), ("AGPL", "Affero General", "3", "3")]
+        for kind, words in [("Only", f"version {version} of the License"), ("Only", f"version {version}"), ("Redistribute", f"either version {version} of the License, or (at your option) any later version"), ("Redistribute", f"either version {version} of the License, or any later version")]
+    ],
+    ("GPL2Only", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPLHope", "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
+    ("GPLHope", "This file is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
     ("GPLHope", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
     ("BSDRedistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSDSource", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
     ("BSDBinary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
     ("BSDEndorse", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSDEndorse", "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSDAsIs", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"),
+    *[(name, f"This work is licensed under {article} Creative Commons {terms} 4.0 International License") for name, terms in [("CCBY4", "Attribution"), ("CCBYSA4", "Attribution-ShareAlike"), ("CCBYNC4", "Attribution-NonCommercial")] for article in ("a", "the")],
     ("CCBYNC4", "Licensed under CC BY-NC 4.0"),
     ("CCBY4", "Licensed under CC BY 4.0"),
     ("CCBYSA4", "Licensed under CC BY-SA 4.0"),
-    ("MPL2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("MPL2", "This Source Code Form is subject to the terms of the Mozilla Public License, v"),
+    ("MPL2Version", "2.0"),
 ]
 
 #: Licences and the sentences they are known by, the more specific before the less.
 RULES = [
+    ("Apache-2.0", ["ApacheTitle"]),
     ("Apache-2.0", ["ApacheLicensed", "ApacheMayNotUse", "ApacheCopy", "ApacheUnless", "ApacheSee"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPL3Redistribute", "GPLHope"]),
     ("GPL-2.0-or-later", ["GPLFree", "GPL2Redistribute", "GPLHope"]),
+    *[
+        (name, ["GPLFree", sentence, "GPLHope"])
+        for name, sentence in [("LGPL-2.1-or-later", "LGPL21Redistribute"), ("LGPL-3.0-or-later", "LGPL3Redistribute"), ("AGPL-3.0-or-later", "AGPL3Redistribute"), ("GPL-2.0-only", "GPL2Only"), ("GPL-3.0-only", "GPL3Only")]
+    ],
+    ("BSD-3-Clause", ["BSDRedistribution", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs"]),
+    ("BSD-2-Clause", ["BSDRedistribution", "BSDSource", "BSDBinary", "BSDAsIs"]),
     ("BSD-3-Clause", ["BSDRedistribution", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDRedistribution", "BSDSource", "BSDBinary"]),
+    ("MIT", ["MITPermission", "MITNotice", "MITAsIs", "MITLiability"]),
     ("MIT", ["MITPermission", "MITNotice", "MITAsIs"]),
+    ("MIT-0", ["MIT0Permission", "MITAsIs", "MITLiability"]),
+    ("ISC", ["ISCPermission", "ISCAsIs"]),
+    ("ISC", ["ISCPermission"]),
+    ("0BSD", ["0BSDPermission", "ISCAsIs"]),
+    ("Zlib", ["ZlibPermission"]),
+    ("Unlicense", ["Unlicense"]),
+    ("BSL-1.0", ["BoostPermission"]),
+    ("BSL-1.0", ["BoostLicensed"]),
     ("Apache-2.0", ["ApacheLicensed"]),
     ("MIT", ["MITReleased"]),
     ("MIT", ["MITLicensed"]),
     ("GPL-3.0-only", ["GPL3Licensed"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPL3Redistribute"]),
     ("GPL-2.0-or-later", ["GPLFree", "GPL2Redistribute"]),
+    *[
+        (name, [sentence])
+        for name, sentence in [
+            ("GPL-3.0-or-later", "GPL3Redistribute"), ("GPL-2.0-or-later", "GPL2Redistribute"), ("LGPL-2.1-or-later", "LGPL21Redistribute"), ("LGPL-3.0-or-later", "LGPL3Redistribute"),
+            ("AGPL-3.0-or-later", "AGPL3Redistribute"), ("GPL-2.0-only", "GPL2Only"), ("GPL-3.0-only", "GPL3Only"), ("LGPL-2.1-only", "LGPL21Only"), ("LGPL-3.0-only", "LGPL3Only"), ("AGPL-3.0-only", "AGPL3Only"),
+        ]
+    ],
     ("CC-BY-NC-4.0", ["CCBYNC4"]),
     ("CC-BY-4.0", ["CCBY4"]),
     ("CC-BY-SA-4.0", ["CCBYSA4"]),
-    ("MPL-2.0", ["MPL2"]),
-]
+    ("MPL-2.0", ["MPL2", "MPL2Version"]),
+]
 
-#: A line goes on where it ends with a comma or the next begins with a small letter, a bracket or a quote; marks of
-#: comments at the beginning of such a line are left out.
-WRAPS = [(r",[ \t\r]*\n[ \t#*/]*", ", "), (r"\n[ \t#*/]*([a-z(\"])", r" \1")]
+#: Beginnings of known sentences, as printed, and notices that are often printed without a full stop.
+_OPENINGS = sorted({r"[ \t\r]+".join(re.escape(w) for w in sentence.split(" ")[:3]) for _, sentence in SENTENCES if sentence.count(" ") > 2 and sentence[0].isupper()})
+_NOTICES = sorted({re.escape(sentence) for _, sentence in SENTENCES if re.match("(Licensed|Released|Distributed|This work is licensed) under", sentence)}, key=len, reverse=True)
+#: What comment lines begin with.
+_LEAD = r"[ \t#*/%;-]*"
+
+#: A wrapped line goes on in the next, whatever that begins with; marks of comments at its beginning are left out. Blank lines
+#: and list marks end a sentence, and so does a line end before a known sentence or after a notice. The last two give
+#: names of holders and a mark one form.
+WRAPS = [
+    (r"\r\n", "\n"),
+    (r",[ \t\r]*\n[ \t#*/;]*", ", "),
+    (rf"\n{_LEAD}\n[ \t\n#*/%;-]*", ";"),
+    (r"\n[ \t#*/]*(?:[0-9]{1,2}[.)]|\([0-9a-z]{1,3}\)|-)[ \t]+", ";"),
+    (rf"\n{_LEAD}([a-z(\"])", r" \1"),
+    (rf"(?i)((?:{'|'.join(_NOTICES)}))[ \t\r]*\n", r"\1;"),
+    (rf"\n{_LEAD}((?:{'|'.join(_OPENINGS)}))", r";\1"),
+    (rf"\n{_LEAD}", " "),
+    (r"(?i)neither +the +names? +of .{1,120}? nor +the +names? +of ", "Neither the name of the copyright holder nor the names of "),
+    (r"(?i)Software +Foundation;[ \t]*(either version|version) ", r"Software Foundation, \1 "),
+]
 #: Ends of sentences: other line ends, semicolons and colons, and full stops, exclamation and question marks before white space.
 SENTENCE_END = r"[\n;:]|[.!?](?:[ \t\r]|$)"
 NOISE = r"[^a-z0-9.]+"

@@ -125,3 +125,97 @@ def contamination_rows(pairs, items) -> Counter:
                     names |= {str(o) for o in owners if o is not None}
         out[i, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()] += 1
     return out
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+BSD2 = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+
+BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+
+BSD3 = f"""{BSD2}3. Neither the name of Some Company Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU {}General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.
+"""
+
+#: Licence texts as published, with their licences.
+LICENSES = [
+    (APACHE, ["Apache-2.0"]), (MIT, ["MIT"]), (BSD2 + BSD_END, ["BSD-2-Clause"]), (BSD3 + BSD_END, ["BSD-3-Clause"]), (ISC, ["ISC"]),
+    (GPL.format(":", "", ",", 3), ["GPL-3.0-or-later"]), (GPL.format(";", "", ";", 2), ["GPL-2.0-or-later"]), (GPL.format(";", "Lesser ", ";", 2.1), ["LGPL-2.1-or-later"]),
+    (GPL.format(":", "Affero ", ",", 3), ["AGPL-3.0-or-later"]),
+    ("Project\nLicensed under the MIT License\nAuthor: X", ["MIT"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile", ["MPL-2.0"]),
+    ("This is release v. 2.0. It is new.", []),
+]

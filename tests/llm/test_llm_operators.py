@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import llm_data as data
@@ -192,6 +193,16 @@ def test_licenses(spark, docs, none):
     assert scan_licenses(none, "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("lead", ["", " * ", "# ", "// ", "-- ", ";; "])
+def test_licenses_as_published(spark, lead):
+    for width in (None, 40, 61):
+        wrapped = lambda t: t if width is None else "\n\n".join(textwrap.fill(p, width) for p in t.split("\n\n"))  # noqa: B023, E731
+        texts = [wrapped(t) if n < 9 else t for n, (t, _) in enumerate(data.LICENSES)]
+        cases = [(i, "".join(f"{lead}{line}".rstrip() + end for line in t.split("\n"))) for i, (t, end) in enumerate((t, e) for t in texts for e in ("\n", "\r\n"))]
+        got = {r.doc_id: (r.licenses, r.n_left) for r in scan_licenses(spark.createDataFrame(cases, "doc_id int, text string"), "doc_id", "text").collect()}
+        assert [got[i] for i, _ in cases] == [(want, 0 if want else 1) for _, want in data.LICENSES for _ in range(2)]
+
+
 # 6 ----------------------------------------------------------------------------------------------------
 
 
