@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,3 +53,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def record_batch(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, field.type) for c, field in zip((columns[f.name] for f in schema), schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def worker_memory(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What this Python process keeps from task to task, made when first asked for. Functions sent by value have globals of their own in each
+    task, so it hangs on a module that isn't sent."""
+    memory = sys.modules.setdefault("_strata_worker_memory", types.ModuleType("_strata_worker_memory")).__dict__.setdefault("kept", {})
+    if key not in memory:
+        memory[key] = make()
+    return memory[key]

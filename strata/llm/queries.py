@@ -13,8 +13,11 @@ from strata.llm import repetition as rp
 from strata.llm import url_filter as uf
 from strata.llm import warc
 from strata.llm.bpe_automaton import encoded
+from strata.llm.collocations import collocations
 from strata.llm.common import UPPER, table
 from strata.llm.jaccard_join import linked_documents
+from strata.llm.packing import pack
+from strata.llm.ranked_search import build_index, search
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.token_counts import token_counts
 from strata.llm.toxicity import held_out, score_texts, train
@@ -25,6 +28,7 @@ ORACLES: dict[str, str] = {}
 
 URL_RULES = "block net/, allow example.net/en/, block example.com/de/, allow org/fr/"
 TOKEN_LIMIT = 1024
+SEQUENCE = 4096
 LONGEST_REPEAT = 50
 
 
@@ -217,3 +221,70 @@ def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
+
+
+@query(
+    f"""
+    WITH cut AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+    ),
+    pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM cut),
+    spots AS (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM pieces, (VALUES (1), (2), (3)) t(k)),
+    f AS (SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f FROM spots GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+    c AS (SELECT lang, k, p, f AS a FROM f WHERE k > 1 AND f >= 10),
+    scored AS (
+        SELECT c.lang, c.p, a, l.f AS l, r.f AS r, j, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+        FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM c) c
+        JOIN f l ON l.lang = c.lang AND l.p = c.p[:j] JOIN f r ON r.lang = c.lang AND r.p = c.p[j + 1:]
+    ),
+    lowest AS (SELECT lang, p, unnest(min_by({{a: a, l: l, r: r, score: score}}, (score, j))) FROM scored GROUP BY 1, 2),
+    held AS (
+        SELECT lang, q AS p, max(a) AS longer FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM c WHERE k = 3) GROUP BY 1, 2
+    ),
+    ranked AS (
+        SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+               row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+        FROM lowest LEFT JOIN held USING (lang, p)
+        WHERE len(p) = 3 OR longer IS NULL OR 100 * longer < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), "text", "lang")
+
+
+@query()
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"), capacity=SEQUENCE)
+
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+    stats AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+    q AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_TERMS}) AS w FROM benchmark),
+    asked AS (SELECT q, unnest(w) AS term FROM q),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, stats GROUP BY term, n_docs
+    ),
+    norms AS (SELECT r, doc_id, 10 + (90 * len(w) * n_docs) // n_terms AS m FROM d, stats WHERE len(w) > 0),
+    scored AS (
+        SELECT q, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN norms USING (r) GROUP BY 1, 2
+    ),
+    ranked AS (
+        SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+        FROM scored JOIN norms USING (r) WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN q USING (q) WHERE rank <= 10
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return search(index, table(spark, sf_dir, "benchmark"), "item_id", "text", "doc_id", k=10)
