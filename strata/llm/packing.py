@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import record_batch, saved, shuffle_partitions, worker_memory
+from strata.llm.word_split import SPECIAL, Splitter, look_up, shares
 
 #: Pieces of a shard, islands of a shard, packings of an island, generations of an epoch, epochs of a level.
 SHARD, ISLANDS, POPULATION, GENERATIONS, EPOCHS = 2048, 3, 6, 12, 2
@@ -39,39 +40,47 @@ LEAST_BINS = 16
 
 
 class Ids:
-    """The ids of texts for a tokenizer that drops white space, so that what stands between two runs of it is encoded once."""
-
-    def __init__(self, path: str, remembered: int = 400_000):
-        import regex
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.space, self.remembered = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"), remembered
+    """The ids of texts. The library's model merges each word once; words are remembered, up to so many."""
+
+    def __init__(self, path: str, remembered: int = 600_000):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.splitter, self.remembered = Splitter(path), remembered
+        tokenizer = self.splitter.tokenizer
+        # The merges alone, for words that are split and in symbols already.
+        self.merger = Tokenizer(tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.is_end = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.is_end[[number for token, number in tokenizer.get_vocab().items() if token.endswith(tokenizer.model.end_of_word_suffix)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _chunks(self, text: str) -> list[str]:
-        # Python alone counts four separators as white space.
-        return text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else [c for c in self.space.split(text) if c]
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self._chunks(text) for text in texts]
-        known = self.known
-        missing = set(itertools.chain.from_iterable(cut)).difference(known)
-        if missing and len(known) + len(missing) > self.remembered:
-            # The older half goes; what these texts need is looked up anew.
-            for chunk in list(itertools.islice(known, len(known) // 2)):
-                del known[chunk]
-            missing = set(itertools.chain.from_iterable(cut)).difference(known)
-        if missing:
-            new = list(missing)
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((chunk, np.array(e.ids, "<u4").tobytes()) for chunk, e in zip(new, encoded))
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+    def _learn(self, words: list[str]) -> None:
+        """Words are encoded many at a time; a token with the mark of a word's end shows where the next word begins."""
+        for word in words:
+            if not word or word[0] == SPECIAL:
+                self.known[word] = self.splitter.special[word[1:]].to_bytes(4, "little") if word else b""
+        words = [word for word in words if word and word[0] != SPECIAL]
+        symbols = [self.splitter.in_symbols(word) for word in words]
+        groups = [" ".join(symbols[at : at + 500]) for at in range(0, len(symbols), 500)]
+        encoded = self.merger.encode_batch_fast(groups, add_special_tokens=False)
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in encoded), "<u4")
+        ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
+        if len(ends) != len(words):
+            raise ValueError("a word without a token that ends it")
+        whole = ids.tobytes()
+        self.known.update(zip(words, map(whole.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))))
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, null counting as empty, as little-endian unsigned 32-bit integers."""
+        words, which, bounds = self.splitter.split(texts)
+        own = look_up(self.known, words, self._learn, self.remembered)
+        flat, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int32, len(own)) >> 2
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        # Where each word's ids begin among those of the different words, less where they will stand, once for each of its ids.
+        shifts = (np.cumsum(sizes) - sizes)[which] - (ends - counts)
+        ids = flat[np.repeat(shifts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        return [ids[low:high] for low, high in itertools.pairwise(np.concatenate(([0], ends))[bounds].tolist())]
 
 
 def pieces(docs: DataFrame, key: str, text: str, path: str, capacity: int, closing: int) -> DataFrame:
@@ -85,13 +94,12 @@ def pieces(docs: DataFrame, key: str, text: str, path: str, capacity: int, closi
         number = itertools.count(TaskContext.get().partitionId() << 33)
         for batch in batches:
             rows: list[tuple] = []
-            for at in range(0, len(batch), 256):
-                texts = [t or "" for t in batch.column("text").slice(at, 256).to_pylist()]
-                for row, own in enumerate(ids.of(texts), at):
-                    own = memoryview(own + end)
-                    for piece, start in enumerate(range(0, len(own), 4 * capacity)):
-                        part = own[start : start + 4 * capacity]
-                        rows.append((row, next(number), piece, start // 4, len(part) // 4, zlib.crc32(part)))
+            for at, until in shares(batch.column("text")):
+                for row, own in enumerate(ids.of(batch.column("text").slice(at, until - at)), at):
+                    for piece, start in enumerate(range(0, len(own) + 1, capacity)):
+                        part, last = own[start : start + capacity], start + capacity > len(own)
+                        crc = zlib.crc32(np.ascontiguousarray(part))
+                        rows.append((row, next(number), piece, start, len(part) + last, zlib.crc32(end, crc) if last else crc))
             owner, *values = zip(*rows) if rows else [()] * 6
             schema = pa.schema([("key", batch.column("key").type), *fields])
             named = dict(zip([name for name, _ in fields], values))

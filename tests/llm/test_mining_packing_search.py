@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import llm_data as data
 import numpy as np
+import pyarrow as pa
 import pytest
 from strata.llm.collocations import collocations
 from strata.llm.packing import Ids, Packing, crossover, evolve, first_packing, mutation, pack
@@ -94,12 +95,15 @@ def tokenizer():
 
 
 def test_ids_are_those_of_the_library(tokenizer):
-    texts = [t or "" for t in data.texts()] + ["a\x1cb \x1f c d", "x<|endoftext|> y", "\x85\xa0　"]
+    rng = random.Random(4)
+    texts = [t or "" for t in data.texts()] + ["a\x1cb \x1f c d", "x<|endoftext|> y<| <", "\x85\xa0\u3000", "  ", "".join(map(chr, range(0x250))), "a" + "\u0301 b".join("xyz")]
+    texts += [f"q{chr(c)}r {chr(c)}" for c in range(0x300)]
+    texts += ["".join(rng.choices("aAéÉßİ ,.'sdt0²½ªñ\t\n<|\u2019\u20ac\u0130\u0301日", k=50)) for _ in range(300)]
     small = Ids(tokenizer_path("word_bpe_49k.json"), remembered=50)
     for _ in range(2):
-        for at in range(0, len(texts), 3):
-            want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at : at + 3]]
-            assert [np.frombuffer(b, "<u4").tolist() for b in small.of(texts[at : at + 3])] == want
+        for at in range(0, len(texts), 7):
+            want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at : at + 7]]
+            assert [x.tolist() for x in small.of(pa.array(texts[at : at + 7]))] == want
 
 
 def checked_packing(spark, tokenizer, rows, capacity, **options):
