@@ -5,10 +5,11 @@ order, each as a gadget: wherever an arc `left` leads to a state with an arc `ri
 past both, and the state reached by `left` is split so that `right` can no longer follow it. The result is
 deterministic and accepts exactly the token sequences that the merges produce.
 
-States are stored as what gadgets did to them. The state behind a token begins as the state behind its right half at that
-time; it loses an arc where a gadget forbids it, and it gains the arc of a merged token where it had the arc of
-the left half at that time. So an arc is known from the order of a few gadgets. Arcs are worked out when a word first
-needs them and kept in a table. A word is encoded by the one walk whose labels spell it. Decoding emits the labels of the arcs.
+Compiled are the gadgets, as arrays of what each did: the token it made, its halves, and the pair it forbids. The state behind a token begins as the state
+behind its right half at that time; it loses an arc where a gadget forbids it, and it gains the arc of a merged token where it had the arc of
+the left half at that time. So an arc is known from the order of a few gadgets. The whole transition table would have billions of
+arcs; arcs are worked out when words first need them, for many pairs at once, and kept in a table. A word is encoded by the one walk whose
+labels spell it. Decoding emits the labels of the arcs.
 
 Defined cases: null and empty texts have no tokens; special tokens inside texts are recognised as the library does; very
 long words are walked without recursion.
@@ -17,8 +18,9 @@ long words are walked without recursion.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
-import re
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,28 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import record_batch
-
-#: Contractions that are split off, then runs of letters, single numbers, runs of anything else but space.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+from strata.llm.common import record_batch, worker_memory
+from strata.llm.word_split import SPECIAL, Splitter, look_up, shares
 
 #: Stands for the end of a word; no byte symbol is like it.
 END = "\x00"
 #: Slots of the table of transitions; a pair that shares another's slot is worked out again.
 TABLE = 1 << 21
 NOWHERE = -2
-#: White space of the splitting pattern, which no split holds, and what Python alone counts as such.
-SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-NO_SPACE = "\x1c\x1d\x1e\x1f"
-#: Latin letters, punctuation and the like: no capital sigma, and the same classes in all versions.
-USUAL = re.compile("[\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte: itself where it is printable, else the next free one."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
+NEVER = np.iinfo(np.int32).max
 
 
 class Automaton:
@@ -61,51 +50,60 @@ class Automaton:
 
         self.end = end
         self.labels = {number: token for token, number in vocabulary.items()}
-        #: Per token the gadget that made it (0: base symbol), its halves, and per pair the gadget that forbids it.
-        self.made: dict[int, int] = {}
-        self.halves: dict[int, tuple[int, int]] = {}
-        self.forbidden: dict[tuple[int, int], int] = {}
+        self.n_tokens = max(self.labels, default=0) + 1
+        #: The gadgets as arrays. Per token the gadget that made it (0: base symbol) and its halves; pairs, sorted, and the gadget that forbids each.
+        self.made = np.zeros(self.n_tokens, np.int32)
+        self.left, self.right = np.zeros(self.n_tokens, np.int32), np.zeros(self.n_tokens, np.int32)
+        forbidden: dict[int, int] = {}
         for number, (left, right) in enumerate(merges, 1):
-            self.add_gadget(number, vocabulary[left], vocabulary[right], vocabulary[left + right])
+            self._add_gadget(number, vocabulary[left], vocabulary[right], vocabulary[left + right], forbidden)
+        pairs = np.fromiter(forbidden, np.int64, len(forbidden))
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], np.iinfo(np.int64).max)
+        self.forbids = np.append(np.fromiter(forbidden.values(), np.int32, len(forbidden))[order], NEVER).astype(np.int32)
         self.last = len(merges) + 1
         #: Finds the arc labels that end at each place of a text; the end of a word is one character, END.
         self.spelling = ahocorasick.Automaton()
-        for label, token in vocabulary.items():
-            if self._is_reached(token):
-                symbols = label.removesuffix(end) + (END if label.endswith(end) else "")
-                self.spelling.add_word(symbols, len(symbols) << 24 | token)
+        tokens = np.array(sorted(vocabulary.values()), np.int64)
+        for token in tokens[self._are_reached(tokens)].tolist():
+            label = self.labels[token]
+            symbols = label.removesuffix(end) + (END if label.endswith(end) else "")
+            self.spelling.add_word(symbols, len(symbols) << 24 | token)
         self.spelling.make_automaton()
-        self.n_tokens = max(self.labels, default=0) + 1
         self.table_keys, self.table_answers = np.full(TABLE, -2), np.zeros(TABLE, bool)
 
-    def add_gadget(self, number: int, left: int, right: int, merged: int) -> None:
-        self.forbidden.setdefault((left, right), number)
-        if merged not in self.made:
-            self.made[merged] = number
-            self.halves[merged] = left, right
-
-    def _had_arc(self, state: int, token: int, now: int) -> bool:
-        """Whether the state behind `state` had an arc `token` just before gadget `now`."""
-        made, forbidden = self.made, self.forbidden
-        while True:
-            if forbidden.get((state, token), now) < now:
-                return False
-            older, newer = made.get(state, 0), made.get(token, 0)
-            if not older and not newer:
-                return True
-            if older > newer:
-                # The state was copied from that behind its right half when the state's token was made.
-                now, state = older, self.halves[state][1]
-            else:
-                # The arc was added beside that of its left half when the token was made, once the states were split: after
-                # a symbol that stayed alone its own double can't follow.
-                now, token = newer + 1, self.halves[token][0]
-
-    def _is_reached(self, token: int) -> bool:
-        """Whether an arc with this token was ever added: its halves must have met before its gadget."""
-        if token not in self.made:
-            return len(self.labels[token].removesuffix(self.end)) == 1
-        return self._had_arc(*self.halves[token], self.made[token])
+    def _add_gadget(self, number: int, left: int, right: int, merged: int, forbidden: dict[int, int]) -> None:
+        forbidden.setdefault(left * self.n_tokens + right, number)
+        if not self.made[merged]:
+            self.made[merged], self.left[merged], self.right[merged] = number, left, right
+
+    def _had_arcs(self, states: np.ndarray, tokens: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """Whether the state behind each of `states` had an arc `tokens` just before gadget `now`. All pairs go back through the gadgets together,
+        until each has met a gadget that forbids it or is down to base symbols."""
+        had = np.zeros(len(states), bool)
+        at, states, tokens, now = np.arange(len(states)), states.astype(np.int64), tokens.astype(np.int64), now.astype(np.int64)
+        while len(at):
+            keys = states * self.n_tokens + tokens
+            spots = np.searchsorted(self.pairs, keys)
+            stays = ~((self.pairs[spots] == keys) & (self.forbids[spots] < now))
+            at, states, tokens, now = at[stays], states[stays], tokens[stays], now[stays]
+            older, newer = self.made[states], self.made[tokens]
+            base = (older == 0) & (newer == 0)
+            had[at[base]] = True
+            at, states, tokens, older, newer = at[~base], states[~base], tokens[~base], older[~base], newer[~base]
+            # The state was copied from that behind its right half when the state's token was made; or else the arc was added beside that
+            # of its left half when the token was made, once the states were split: after a symbol that stayed alone its own double can't follow.
+            back = older > newer
+            now = np.where(back, older, newer + 1)
+            states, tokens = np.where(back, self.right[states], states), np.where(back, tokens, self.left[tokens])
+        return had
+
+    def _are_reached(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether an arc with each of these tokens was ever added: its halves must have met before its gadget."""
+        made = self.made[tokens]
+        reached = self._had_arcs(self.left[tokens], self.right[tokens], made)
+        single = np.array([len(self.labels[t].removesuffix(self.end)) == 1 for t in tokens.tolist()], bool)
+        return np.where(made > 0, reached, single)
 
     def steps(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """The transitions, by a table that keeps what was worked out for each pair."""
@@ -115,7 +113,7 @@ class Automaton:
         answers = self.table_answers[slots] | (states == self.START)
         if not known.all():
             new, where = np.unique(keys[~known], return_inverse=True)
-            worked_out = np.array([self._had_arc(*divmod(key, self.n_tokens), self.last) for key in new.tolist()])
+            worked_out = self._had_arcs(*np.divmod(new, self.n_tokens), np.full(len(new), self.last))
             answers[~known] = worked_out[where]
             self.table_keys[slots[~known]] = keys[~known]
             self.table_answers[slots[~known]] = worked_out[where]
@@ -134,8 +132,8 @@ class Automaton:
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         ends = np.cumsum(lengths)
         begins = ends - lengths
-        found = np.fromiter((end << 32 | label for end, label in self.spelling.iter(text)), np.int64)
-        stop, token, size = (found >> 32) + 1, found & 0xFFFFFF, found >> 24 & 0xFF
+        found = np.fromiter(itertools.chain.from_iterable(self.spelling.iter(text)), np.int64).reshape(-1, 2)
+        stop, token, size = found[:, 0] + 1, found[:, 1] & 0xFFFFFF, found[:, 1] >> 24
         word = np.repeat(np.arange(len(words)), lengths)
         offset = stop - begins[word[stop - 1]]
         order = np.argsort(offset, kind="stable")
@@ -171,84 +169,47 @@ class Automaton:
 
 
 class Encoder:
-    """Encodes whole texts: special tokens, normalisation and splitting as the tokenizer's file says, then the automaton."""
-
-    def __init__(self, path: str, remembered: int = 400_000):
-        import regex
+    """Encodes whole texts: special tokens, normalisation and splitting as the tokenizer's file says, then the automaton, once for each word that
+    is not remembered."""
 
+    def __init__(self, path: str, remembered: int = 500_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
         self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.automaton.labels.update({number: token for token, number in special.items()})
-        self.special = special
-        self.names = {token: str(token) for token in self.automaton.labels}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.split, self.symbols = regex.compile(SPLIT), dict(enumerate(byte_symbols()))
-        self.chunks: dict[str, tuple[str, str, int]] = {}
-        self.tokens: dict[str, list[int]] = {}
-        self.remembered = remembered
-
-    def _words(self, chunk: str) -> list[str]:
-        """The pre-split words of a chunk as byte symbols. Scripts whose characters differ between versions of Unicode are
-        split by the library's own normalizer and splitter."""
-        if not USUAL.fullmatch(chunk):
-            plain = self.library.normalizer.normalize_str(chunk)
-            return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
-        # None of the usual characters is changed by normalisation form C.
-        plain = chunk.lower()
-        words = [plain] if plain.isalpha() else self.split.findall(plain)
-        return words if plain.isascii() and plain.isprintable() else [w.encode().decode("latin-1").translate(self.symbols) for w in words]
-
-    def _look_up(self, chunks: list[str]) -> None:
-        split = [self._words(chunk) for chunk in chunks]
-        new = list({word for words in split for word in words}.difference(self.tokens))
-        self.tokens.update(zip(new, self.automaton.encode(new)))
-        names = self.names
-        for chunk, words in zip(chunks, split):
-            whole = self.tokens[words[0]] if len(words) == 1 else [token for word in words for token in self.tokens[word]]
-            self.chunks[chunk] = " ".join([names[token] for token in whole]), self.automaton.decode(whole), len(whole)
-
-    def _parts(self, text: str) -> list[tuple[bool, str]]:
-        """The text cut at special tokens, with whether a part is one."""
-        if self.cut is None or "<|" not in text:
-            return [(False, text)]
-        return [(part in self.special, part) for part in self.cut.split(text)]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        return SPACE.split(text) if any(c in text for c in NO_SPACE) else text.split()
-
-    def encode_batch(self, texts: list[str]) -> list[tuple[str, str, int]]:
+        self.splitter, self.remembered = Splitter(path), remembered
+        self.automaton.labels.update({number: token for token, number in self.splitter.special.items()})
+        self.names = {token: f" {token}" for token in self.automaton.labels}
+        #: Ids and labels of a word, each after a space.
+        self.known: dict[str, tuple[str, str]] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [word for word in words if word and word[0] != SPECIAL]
+        tokens = dict(zip(plain, self.automaton.encode([self.splitter.in_symbols(word) for word in plain])))
+        names, decode = self.names, self.automaton.decode
+        for word in words:
+            own = tokens.get(word)
+            if own is None:
+                own = [self.splitter.special[word[1:]]] if word else []
+            self.known[word] = "".join([names[token] for token in own]), " " + decode(own) if own else ""
+
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[tuple[str, str, int]]:
         """For each text ids and labels, each joined by spaces, and the number of tokens."""
-        cut = [[(special, [part] if special else self._cut(part)) for special, part in self._parts(text)] for text in texts]
-        missing = set().union(*[chunks for parts in cut for special, chunks in parts if not special]).difference(self.chunks)
-        if len(self.chunks) + len(missing) > self.remembered:
-            self.chunks.clear()
-            self.tokens.clear()
-            missing = set().union(*[chunks for parts in cut for special, chunks in parts if not special])
-        self._look_up(list(missing))
-        known, result = self.chunks, []
-        for parts in cut:
-            found = []
-            for special, chunks in parts:
-                found += [(str(self.special[chunks[0]]), chunks[0], 1)] if special else [e for e in map(known.__getitem__, chunks) if e[2]]
-            ids, labels, sizes = zip(*found) if found else ((), (), ())
-            result.append((" ".join(ids), " ".join(labels), sum(sizes)))
+        words, which, bounds = self.splitter.split(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        own = look_up(self.known, words, self._learn, self.remembered)
+        ids, labels, which = [x[0] for x in own], [x[1] for x in own], which.tolist()
+        result = []
+        for low, high in itertools.pairwise(bounds):
+            part = which[low:high]
+            text = "".join([ids[i] for i in part])
+            result.append((text[1:], "".join([labels[i] for i in part])[1:], text.count(" ")))
         return result
 
-    def in_batches(self, texts: list[str], characters: int = 4_000_000) -> Iterator[tuple[str, str, int]]:
-        """The same for any number of texts, of about so many characters at a time."""
-        begin = size = 0
-        for end, text in enumerate(texts, 1):
-            size += len(text)
-            if size >= characters or end == len(texts):
-                yield from self.encode_batch(texts[begin:end])
-                begin, size = end, 0
+    def in_batches(self, texts: list[str] | pa.Array, size: int = 4_000_000) -> Iterator[tuple[str, str, int]]:
+        """The same for any number of texts, of about so many bytes at a time."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        for low, high in shares(column, size):
+            yield from self.encode_batch(column.slice(low, high - low))
 
 
 def encoded(docs: DataFrame, key: str, text: str, path: str, with_ids: bool = False) -> DataFrame:
@@ -261,11 +222,11 @@ def encoded(docs: DataFrame, key: str, text: str, path: str, with_ids: bool = Fa
     layout += ", ids array<int>, decoded string" if with_ids else ""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        # One automaton and one memory for all tasks of a worker.
+        encoder = worker_memory(("bpe_automaton", path, os.path.getsize(path), os.path.getmtime(path)), lambda: Encoder(path))
         for batch in batches:
-            encoder = encoder or Encoder(path)
             rows = {name: [] for name, _ in fields}
-            for ids, labels, n in encoder.in_batches([t or "" for t in batch.column("text").to_pylist()]):
+            for ids, labels, n in encoder.in_batches(batch.column("text")):
                 rows["n_tokens"].append(n)
                 rows["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
                 rows["decoded_sha256"].append(hashlib.sha256(labels.encode()).hexdigest())
