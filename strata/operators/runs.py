@@ -27,7 +27,10 @@ HOUR_MS = 3_600_000
 
 
 def status_rank(status: Column) -> Column:
-    return (F.array_position(F.array(*[F.lit(s) for s in STATUSES]), status) - 1).cast("int")
+    """The place of a status in a run's life, null for null; any other status fails by its name."""
+    place = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), status)
+    unknown = F.raise_error(F.concat(F.lit("unknown status: "), status)).cast("bigint")
+    return (F.when(place == 0, unknown).otherwise(place) - 1).cast("int")
 
 
 def _at(at_ms: int | Column) -> Column:
@@ -70,18 +73,46 @@ def latest_state(run_log: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame
     A request counts only while the run has not reached bronze or silver, so a redelivered one resets nothing.
     Time and status are packed into one number.
     """
+    return folded_state(fold_events(run_log, keys), keys)
+
+
+# What the state of a run is made of, in a form that later events can be merged with.
+FOLDED_DDL = (
+    "source string, entity string, run_id string, reached boolean, moment bigint, moment_done bigint, "
+    "requested_at_ms bigint, updated_at_ms bigint, extra_moment bigint, extra string"
+)
+
+
+def fold_events(run_log: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
+    """One row per run: the last moments with and without requests, and the last extra with its moment."""
     rank = status_rank(F.col("status"))
     moment = F.col("at_ms") * 4 + rank
-    reached = F.bool_or(rank.isin(1, 2))
-    last = F.when(reached, F.max(F.when(rank > 0, moment))).otherwise(F.max(moment))
+    with_extra = F.when(F.col("extra").isNotNull(), moment)
     return run_log.groupBy(*keys).agg(
-        F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (F.pmod(last, F.lit(4)) + 1).cast("int")).alias("status"),
+        F.bool_or(rank.isin(1, 2)).alias("reached"),
+        F.max(moment).alias("moment"),
+        F.max(F.when(rank > 0, moment)).alias("moment_done"),
         F.max(F.when(rank == 0, F.col("at_ms"))).alias("requested_at_ms"),
         F.max(F.when(rank > 0, F.col("at_ms"))).alias("updated_at_ms"),
-        F.max_by("extra", F.when(F.col("extra").isNotNull(), moment)).alias("extra"),
+        F.max(with_extra).alias("extra_moment"),
+        F.max_by("extra", with_extra).alias("extra"),
     )
 
 
+def merge_folded(folded: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
+    """Several folded rows of a run, as of a snapshot and of the events after it, as one."""
+    most = ("moment", "moment_done", "requested_at_ms", "updated_at_ms", "extra_moment")
+    return folded.groupBy(*keys).agg(
+        F.bool_or("reached").alias("reached"), *[F.max(c).alias(c) for c in most], F.max_by("extra", "extra_moment").alias("extra")
+    )
+
+
+def folded_state(folded: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
+    last = F.when(F.col("reached"), F.col("moment_done")).otherwise(F.col("moment"))
+    status = F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (F.pmod(last, F.lit(4)) + 1).cast("int"))
+    return folded.select(*keys, status.alias("status"), "requested_at_ms", "updated_at_ms", "extra")
+
+
 def run_durations(run_log: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
     """Per run: first time of each status and the milliseconds between stages."""
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.errors import AnalysisException
 from strata.operators import runs as rn
 from strata.operators.mapping import mapped_items, mapped_payloads
 from strata.operators.transforms import check_rows
+from strata.plans.runlog import append_run_log, commit_events, compact_run_log, has_commit, read_commits, read_run_log, read_run_state
 from strata.plans.spec import Schema
 from strata.plans.workspace import work_dir
 from strata.sinks.layers import ITEM_TEXT, remove_folders, write_bronze, write_quarantine, write_silver
@@ -27,29 +29,37 @@ from strata.sources.bronze import (
     with_ingestion_partitions,
     with_payload_items,
 )
-from strata.sources.files import scan_artifacts
+from strata.sources.files import folder_value, scan_artifacts
 from strata.sources.silver import read_silver
 
 RUN_KEY = rn.RUN_KEY
 MAX_ATTEMPTS = 5
+#: The folder level, below the run, of what one job wrote.
+COMMIT = "commit"
 
 
 def now_ms() -> int:
     return int(time.time() * 1000)
 
 
-def append_run_log(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+def with_given_run_ids(payloads: DataFrame, ingested_at: str | Column) -> DataFrame:
+    """Payloads without a run id get one of their own, made from all that is known of them: what is delivered again or evaluated again gets the
+    same id, and payloads that differ in anything, the time included, get different ones."""
+    at = F.col(ingested_at) if isinstance(ingested_at, str) else ingested_at
+    known = [F.col("source"), F.col("entity"), F.col("payload"), at.alias("at")]
+    if "params" in payloads.columns:
+        known.append(F.array_sort(F.map_entries("params")).alias("params"))
+    digest = F.sha2(F.to_json(F.struct(*known), {"ignoreNullFields": "false"}), 256)
+    cut = F.regexp_replace(F.substring(digest, 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return payloads.withColumn("run_id", F.coalesce(F.when(F.col("run_id") != "", F.col("run_id")), cut))
 
 
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log, or an empty one where nothing was written yet."""
-    try:
-        return spark.read.schema(rn.RUN_LOG_DDL).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], rn.RUN_LOG_DDL)
+def one_payload_per_run(payloads: DataFrame) -> DataFrame:
+    """One row per run, however often its payload was delivered, with ``several`` where its payloads differ. One shuffle."""
+    digest = F.coalesce(F.sha2("payload", 256), F.lit(""))
+    rows = payloads.select(*RUN_KEY, F.struct(*payloads.columns).alias("_row"), digest.alias("_digest"))
+    same = rows.groupBy(*RUN_KEY).agg(F.first("_row").alias("_row"), (F.min("_digest") != F.max("_digest")).alias("several"))
+    return same.select("_row.*", "several")
 
 
 def payload_rows(payloads: DataFrame, mapping_columns: Sequence[str] | None = None) -> DataFrame:
@@ -70,26 +80,50 @@ def land_bronze(
     ingested_at: str | Column,
     mapping_columns: Sequence[str] | None = None,
     at_ms: int | None = None,
+    job_id: str | None = None,
 ) -> None:
     """Write the payloads of runs that are not landed yet, and log each run.
 
-    ``payloads`` has one row per run with source, entity, run_id, params and the payload text. A run
-    whose payload is bad is logged as failed and not written; the others are not held up by it.
+    ``payloads`` has one row per run with source, entity, run_id, params and the payload text. A payload without a run id
+    is a run of its own. A run whose payload is bad, or which has several that differ, is logged as failed and not written; the
+    others are not held up by it. Runs landed before are logged as skipped. A job that is repeated under its ``job_id`` does nothing if it
+    came to its end, or else all again, and its events replace those of the first time.
     """
-    at_ms = at_ms or now_ms()
-    # One payload per run, even where it was delivered twice.
-    todo = rn.pending_runs(payloads, read_run_log(spark, log_path), "bronze").dropDuplicates(list(RUN_KEY))
+    at_ms, job = at_ms or now_ms(), job_id or uuid.uuid4().hex
+    if job_id and has_commit(spark, log_path, "bronze", job):
+        return
+    log = read_run_log(spark, log_path, job)
+    # Payloads that name their run are not read for that.
+    named = F.coalesce(F.col("run_id") != "", F.lit(False))
+    unnamed = with_given_run_ids(payloads.where(~named), ingested_at)
+    asked = payloads.where(named).select(*RUN_KEY).unionByName(unnamed.select(*RUN_KEY))
+    _log_skipped(spark, asked, log, "bronze", log_path, at_ms, job)
+    todo = one_payload_per_run(rn.pending_runs(with_given_run_ids(payloads, ingested_at), log, "bronze"))
     placed = _with_fixed_partitions(spark, with_ingestion_partitions(todo, ingested_at), log_path, at_ms)
     checked = with_payload_items(placed) if mapping_columns is None else mapped_payloads(placed, "payload", mapping_columns)
     # A payload is good or bad as a whole.
-    failed = _log_failures(checked.where(F.col("error").isNotNull()).select(*RUN_KEY, "error"), log_path, at_ms)
+    several = F.when(F.col("several"), F.lit("payloads of the run differ"))
+    checked = checked.withColumn("error", F.coalesce(several, "error")).drop("several")
+    failed = _log_failures(checked.where(F.col("error").isNotNull()).select(*RUN_KEY, "error"), log_path, at_ms, "bronze-failed", job)
     good = checked.where(F.col("error").isNull()).drop("error", "payload")
     rows = good.select(*[c for c in good.columns if c != "items"], F.posexplode("items").alias("pos", "row"))
     if mapping_columns is None:
         rows = rows.withColumns({ITEM_TEXT: F.col("row.text"), "row": F.col("row.row")})
     write_bronze(rows, base)
     done = todo.join(failed, list(RUN_KEY), "left_anti")
-    append_run_log(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path)
+    commit_events(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path, "bronze", job)
+
+
+def _log_skipped(spark: SparkSession, runs: DataFrame, log: DataFrame, stage: str, log_path: str, at_ms: int, job: str) -> None:
+    """Runs that an event marks as done already get one more event, which says so. Written only where there are any."""
+    done = log.where(F.col("status").isin(*rn.DONE[stage])).select(*RUN_KEY)
+    skipped = runs.select(*RUN_KEY).distinct().join(done, list(RUN_KEY), "left_semi")
+    extra = F.to_json(F.struct(F.lit(True).alias("skipped")))
+    folder = work_dir(spark, "skipped")
+    rn.log_status(skipped, rn.DONE[stage][0], at_ms, extra).write.parquet(folder)
+    kept = spark.read.schema(rn.RUN_LOG_DDL).parquet(folder)
+    if kept.take(1):
+        commit_events(kept, log_path, f"{stage}-skipped", job)
 
 
 def attempts_path(log_path: str) -> str:
@@ -118,13 +152,13 @@ def _with_fixed_partitions(spark: SparkSession, todo: DataFrame, log_path: str,
     return joined.withColumns({c: F.col(f"_first.{c}") for c in levels}).drop("_first")
 
 
-def _log_failures(failed: DataFrame, log_path: str, at_ms: int) -> DataFrame:
+def _log_failures(failed: DataFrame, log_path: str, at_ms: int, stage: str, job: str) -> DataFrame:
     """Log runs with their error as failed and return their keys. They are kept in a folder of the job, so that jobs of one
     moment never take each other's failures for their own."""
     folder = work_dir(failed.sparkSession, "failed")
     failed.write.parquet(folder)
     kept = failed.sparkSession.read.schema(failed.schema).parquet(folder)
-    append_run_log(rn.log_failed(kept, at_ms, F.col("error")), log_path)
+    commit_events(rn.log_failed(kept, at_ms, F.col("error")), log_path, stage, job)
     return kept.select(*RUN_KEY)
 
 
@@ -142,28 +176,37 @@ def run_silver(
     at_ms: int | None = None,
     tried: DataFrame | None = None,
     dead_letter_base: str | None = None,
+    job_id: str | None = None,
+    committed: bool = False,
 ) -> None:
     """Transform every landed run that is not in silver yet, and log each run.
 
     A bad row fails the job (``fail``), fails its run and no other (``fail_run``), or is set aside
     (``quarantine``). Bronze is read once, and a second time for ``fail_run`` and ``quarantine``. ``force`` redoes
-    finished runs, and removes the folders that a run had and has no more. Only folders of this dataset are listed.
-    ``tried`` says how often the rows of a run were tried before; ``retry_silver`` gives it.
+    finished runs, and removes the folders that a run had and has no more; a run that fails keeps what it had. Only folders of this dataset are listed.
+    Runs in silver already are logged as skipped. ``tried`` says how often the rows of a run were tried before; ``retry_silver`` gives it. A job that is
+    repeated under its ``job_id`` does nothing if it came to its end, or else all again, and its events replace those of the first time.
+
+    With ``committed`` every job writes folders of its own, one level below the run, and the last successful event of a run names the ones
+    that count: ``read_committed`` shows what that event published, whatever a later job wrote before it failed. Use it for a dataset always or never.
     """
     if on_error not in ("fail", "fail_run", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
     if on_error == "quarantine" and quarantine_base is None:
         raise ValueError("quarantine needs a folder for rejected rows")
-    at_ms, job = at_ms or now_ms(), uuid.uuid4().hex
-    log = read_run_log(spark, log_path)
+    at_ms, job = at_ms or now_ms(), job_id or uuid.uuid4().hex
+    if job_id and has_commit(spark, log_path, "silver", job):
+        return
+    log = read_run_log(spark, log_path, job)
     landed = log.where(F.col("status").isin(*rn.DONE["bronze"])).select(*RUN_KEY)
     own = requests.where((F.col("source") == schema.source) & (F.col("entity") == schema.entity))
     todo = own.select(*RUN_KEY, "params").join(landed, list(RUN_KEY), "left_semi")
     if not force:
+        _log_skipped(spark, todo, log, "silver", log_path, at_ms, job)
         todo = rn.pending_runs(todo, log, "silver")
     own_bronze = folder_of(bronze_base, source=schema.source, entity=schema.entity)
     lines = text_lines(spark, own_bronze, BRONZE_PARTITIONS, bronze_base)
-    before = _files_of(spark, schema, todo, silver_base) if force else None
+    before = _files_of(spark, schema, todo, silver_base) if force and not committed else None
     rows = parse_lines(rn.rows_with_run_params(lines.drop("ingestion_dt", "ingestion_hr"), todo))
     carry = [*RUN_KEY, "params"]
     checked = check_rows(rows, schema, params_col="params", carry=carry, logical_types=logical_types)
@@ -173,7 +216,7 @@ def run_silver(
         elif on_error == "fail_run":
             reason = F.min(F.element_at("reasons", 1)).alias("error")
             failed = checked.rejected().groupBy(*RUN_KEY).agg(reason)
-            failed = _log_failures(failed, log_path, at_ms)
+            failed = _log_failures(failed, log_path, at_ms, "silver-failed", job)
             good = checked.accepted().join(failed, list(RUN_KEY), "left_anti")
         else:
             # Rejected rows are set aside first: a run is not logged as done before they are kept.
@@ -185,25 +228,58 @@ def run_silver(
                 rejected = rejected.where(F.col("attempt") < MAX_ATTEMPTS)
             write_quarantine(rejected, quarantine_base, f"{at_ms}-{job}")
             good = checked.accepted()
-        write_silver(_deduplicated(good, schema), silver_base, schema, params_col="params")
+        own = _deduplicated(good, schema)
+        extra = [COMMIT] if committed else []
+        write_silver(own.withColumns({c: F.lit(job) for c in extra}), silver_base, schema, params_col="params", extra_partitions=extra)
     except Exception as error:
-        append_run_log(rn.log_failed(todo, at_ms, F.lit(str(error))), log_path)
+        commit_events(rn.log_failed(todo, at_ms, F.lit(str(error))), log_path, "silver-failed", job)
         raise
-    if before is not None:
-        left = _files_of(spark, schema, todo, silver_base).join(before, "file", "left_semi")
-        remove_folders(spark, (r["folder"] for r in left.select("folder").distinct().toLocalIterator()))
     finished = todo
     if on_error == "fail_run":
         finished = todo.join(failed, list(RUN_KEY), "left_anti")
-    append_run_log(_silver_events(spark, schema, finished, silver_base, at_ms), log_path)
+    if before is not None:
+        left = _files_of(spark, schema, finished, silver_base).join(before, "file", "left_semi")
+        remove_folders(spark, (r["folder"] for r in left.select("folder").distinct().toLocalIterator()))
+    commit_events(_silver_events(spark, schema, finished, silver_base, at_ms, job if committed else None), log_path, "silver", job)
+
 
+def published_commits(log: DataFrame) -> DataFrame:
+    """For each run the commit that its last successful event published; runs written without commits are not among them."""
+    commit = F.get_json_object("extra", f"$.{COMMIT}")
+    events = log.where((F.col("status") == "SILVER_WRITTEN") & commit.isNotNull()).select(*RUN_KEY, "at_ms", commit.alias(COMMIT))
+    return events.groupBy(*RUN_KEY).agg(F.max_by(COMMIT, F.struct("at_ms", COMMIT)).alias(COMMIT))
 
-def _files_of(spark: SparkSession, schema: Schema, runs: DataFrame, silver_base: str) -> DataFrame:
-    """The silver files of runs, written down, since they may go."""
+
+def read_committed(spark: SparkSession, base: str, schema: Schema, log_path: str, **where: Any) -> DataFrame:
+    """The rows of a dataset that successful jobs published, each run as its last such job left it. Folders that don't count are not read, as
+    far as the planner can send the commits to the scan."""
+    rows = read_silver(spark, base, schema, extra_partitions=[COMMIT], **where)
+    published = published_commits(read_run_log(spark, log_path))
+    return rows.join(published, [*RUN_KEY, COMMIT], "left_semi").drop(COMMIT)
+
+
+def remove_unpublished(spark: SparkSession, base: str, schema: Schema, log_path: str, before_ms: int) -> int:
+    """Remove folders of commits that don't count: those of failed jobs, and those that later ones took the place of. Commits of jobs that
+    logged nothing at or before ``before_ms`` stay, since they may be under way. The number of removed folders."""
+    log = read_run_log(spark, log_path)
+    folders = _files_of(spark, schema, None, base, [COMMIT])
+    level = F.regexp_extract("folder", f"/{COMMIT}=([^/]*)$", 1).alias(COMMIT)
+    keyed = folders.select("folder", level, *[folder_value(F.concat("folder", F.lit("/")), k).alias(k) for k in RUN_KEY]).distinct()
+    ended = read_commits(spark, log_path).where(F.col("at_ms") <= before_ms).select(F.col("writer").alias(COMMIT)).distinct()
+    stale = keyed.join(published_commits(log), [*RUN_KEY, COMMIT], "left_anti").join(ended, COMMIT, "left_semi")
+    n = 0
+    for row in stale.select("folder").toLocalIterator():
+        remove_folders(spark, [row.folder])
+        n += 1
+    return n
+
+
+def _files_of(spark: SparkSession, schema: Schema, runs: DataFrame | None, silver_base: str, extra: Sequence[str] = ()) -> DataFrame:
+    """The silver files of runs, or of all, written down, since they may go."""
     path = F.col("_metadata.file_path")
     try:
-        rows = read_silver(spark, silver_base, schema).select(*RUN_KEY, path.alias("file"))
-        found = rows.join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi").select("file").distinct()
+        rows = read_silver(spark, silver_base, schema, extra_partitions=extra).select(*RUN_KEY, path.alias("file"))
+        found = (rows if runs is None else rows.join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi")).select("file").distinct()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -233,23 +309,26 @@ def retry_silver(
     """
     own = folder_of(quarantine_base, source=schema.source, entity=schema.entity, layer="silver")
     try:
-        ddl = "run_id string, source string, entity string, layer string, attempt int, batch_id string"
+        ddl = "source string, entity string, layer string, run_id string, attempt int, batch_id string"
         kept = spark.read.schema(ddl).option("basePath", quarantine_base).parquet(own)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return
+    landed = read_run_log(spark, log_path).where(F.col("status").isin(*rn.DONE["bronze"])).select(*RUN_KEY)
+    again = requests.join(landed, list(RUN_KEY), "left_semi")
+    # Only folders of runs that are done again, written down before new ones come; those of other runs stay.
     folder = work_dir(spark, "tried")
-    kept.groupBy(*RUN_KEY).agg(F.max("attempt").alias("_tried")).write.parquet(folder)
-    tried = spark.read.schema("source string, entity string, run_id string, _tried int").parquet(folder)
-    batches = kept.select("attempt", "batch_id").distinct().toLocalIterator()
-    old = [folder_of(own, attempt=str(r["attempt"]), batch_id=r["batch_id"]) for r in batches]
-    again = requests.join(tried.select(*RUN_KEY), list(RUN_KEY), "left_semi")
+    asked = kept.join(again.select(*RUN_KEY), list(RUN_KEY), "left_semi")
+    asked.groupBy(*RUN_KEY, "attempt", "batch_id").agg(F.lit(1).alias("_one")).drop("_one").write.parquet(folder)
+    folders = spark.read.schema("source string, entity string, run_id string, attempt int, batch_id string").parquet(folder)
+    tried = folders.groupBy(*RUN_KEY).agg(F.max("attempt").alias("_tried"))
     run_silver(
-        spark, schema, again, bronze_base, silver_base, log_path, "quarantine", quarantine_base,
+        spark, schema, again.join(tried.select(*RUN_KEY), list(RUN_KEY), "left_semi"), bronze_base, silver_base, log_path, "quarantine", quarantine_base,
         force=True, tried=tried, dead_letter_base=dead_letter_base, **options,
     )
-    remove_folders(spark, old)
+    old = folders.select("run_id", "attempt", "batch_id").toLocalIterator()
+    remove_folders(spark, (folder_of(own, run_id=r["run_id"], attempt=str(r["attempt"]), batch_id=r["batch_id"]) for r in old))
 
 
 def _deduplicated(good: DataFrame, schema: Schema) -> DataFrame:
@@ -265,18 +344,21 @@ def _deduplicated(good: DataFrame, schema: Schema) -> DataFrame:
 
 
 def _silver_events(
-    spark: SparkSession, schema: Schema, runs: DataFrame, silver_base: str, at_ms: int
+    spark: SparkSession, schema: Schema, runs: DataFrame, silver_base: str, at_ms: int, commit: str | None = None
 ) -> DataFrame:
     """Silver events with the rows of each run, counted from file footers; no rows means empty."""
     try:
-        counts = rn.run_metrics(read_silver(spark, silver_base, schema).join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi"))
+        rows = read_silver(spark, silver_base, schema, extra_partitions=[COMMIT] if commit else [])
+        rows = rows.where(F.col(COMMIT) == commit) if commit else rows
+        counts = rn.run_metrics(rows.join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         counts = runs.select(*RUN_KEY, F.lit(0).cast("bigint").alias("n_rows")).limit(0)
     joined = runs.join(counts, list(RUN_KEY), "left")
     n_rows = F.coalesce("n_rows", F.lit(0))
-    extra = F.to_json(F.struct(n_rows.alias("rows"), (n_rows == 0).alias("empty")))
+    named = [F.lit(commit).alias(COMMIT)] if commit else []
+    extra = F.to_json(F.struct(n_rows.alias("rows"), (n_rows == 0).alias("empty"), *named))
     return rn.log_status(joined, "SILVER_WRITTEN", at_ms, extra)
 
 
@@ -299,14 +381,19 @@ def verify_runs(
     """One pass over requests, files and log: a verdict per requested run."""
     log = read_run_log(spark, log_path)
     complete = rn.artifact_completeness(scan_artifacts(spark, bronze_base, silver_base), log)
-    return rn.reconcile_runs(requests, complete, rn.latest_state(log))
+    return rn.reconcile_runs(requests, complete, read_run_state(spark, log_path))
 
 
 __all__ = [
     "append_run_log",
+    "commit_events",
+    "compact_run_log",
     "land_bronze",
     "payload_rows",
+    "read_committed",
     "read_run_log",
+    "read_run_state",
+    "remove_unpublished",
     "retry_quarantine",
     "retry_silver",
     "run_silver",

@@ -517,7 +517,8 @@ def silver_empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             on_error="quarantine", quarantine_base=f"{base}/quarantine", at_ms=at_ms,
         )
     kept = spark.read.parquet(f"{base}/quarantine").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rejected"))
-    log = read_run_log(spark, f"{base}/log").where("status = 'SILVER_WRITTEN'").join(kept, "run_id", "left")
+    written = F.get_json_object("extra", "$.skipped").isNull() & (F.col("status") == "SILVER_WRITTEN")
+    log = read_run_log(spark, f"{base}/log").where(written).join(kept, "run_id", "left")
     return log.select(
         "run_id", "status", F.get_json_object("extra", "$.empty").cast("boolean").alias("is_empty"),
         F.get_json_object("extra", "$.rows").cast("bigint").alias("n_rows"), F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"),

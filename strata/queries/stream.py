@@ -69,6 +69,7 @@ def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("first", "second"):
         stream_bronze(
             _messages(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint-{name}", "day", cluster=True, landed=f"{base}/landed",
+            quarantine=f"{base}/quarantine",
         ).awaitTermination()
     rows = read_bronze(spark, f"{base}/bronze", BATCH_BRONZE)
     return rows.select("run_id", F.try_variant_get("row", "$.event_id", "bigint").alias("event_id"))
@@ -84,7 +85,7 @@ def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "two-streams")
     for odd in (0, 1):
         messages = _messages(spark, sf_dir).where(F.get_json_object("payload", "$.event_id").try_cast("bigint") % 2 == odd)
-        stream_bronze(messages, f"{base}/bronze", f"{base}/checkpoint-{odd}", "day", cluster=True).awaitTermination()
+        stream_bronze(messages, f"{base}/bronze", f"{base}/checkpoint-{odd}", "day", cluster=True, quarantine=f"{base}/quarantine").awaitTermination()
     rows = read_bronze(spark, f"{base}/bronze", BATCH_BRONZE)
     landed = rows.select("run_id", F.try_variant_get("row", "$.event_id", "bigint").alias("event_id"))
     return landed.join(table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")

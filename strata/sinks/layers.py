@@ -42,6 +42,18 @@ def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def remove_files(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove files, and the folders they leave empty. Paths are written as links, as Spark shows them."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        file = files.Path(spark._jvm.java.net.URI(path))
+        system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.delete(file, False)
+        folder = file.getParent()
+        if system.exists(folder) and not len(system.listStatus(folder)):
+            system.delete(folder, False)
+
+
 def _write(
     df: DataFrame, base: str, file_format: str, partitions: Sequence[str], max_records: int, **options: Any
 ) -> None:
@@ -149,12 +161,12 @@ def write_silver(
     _write(placed, base, "parquet", partitions, max_records, compression="snappy")
 
 
-QUARANTINE_PARTITIONS = ("source", "entity", "layer", "attempt", "batch_id")
+QUARANTINE_PARTITIONS = ("source", "entity", "layer", "run_id", "attempt", "batch_id")
 
 
 def write_quarantine(rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1, layer: str = "silver") -> None:
-    """Write rejected rows with their reasons, one folder per dataset, layer, attempt and batch, so that no writer
-    replaces the rows of another. ``batch_id`` must name the writer, too; a counted ``attempt`` column is kept."""
+    """Write rejected rows with their reasons, one folder per run, layer, attempt and batch, so that no writer
+    replaces the rows of another and a run can be taken out by itself. ``batch_id`` must name the writer, too; a counted ``attempt`` column is kept."""
     added = {"layer": F.lit(layer), "batch_id": F.lit(str(batch_id))}
     if "attempt" not in rejected.columns:
         added["attempt"] = F.lit(attempt)

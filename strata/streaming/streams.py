@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions import times as tm
 from strata.operators import runs as rn
 from strata.operators.transforms import check_rows
-from strata.plans.pipeline import append_run_log, now_ms, payload_rows
+from strata.plans.pipeline import now_ms, payload_rows, with_given_run_ids
+from strata.plans.runlog import commit_events
 from strata.plans.spec import Schema
 from strata.sinks.layers import write_bronze, write_quarantine, write_silver
 from strata.sources.bronze import BRONZE_PARTITIONS, parse_lines, with_ingestion_partitions
@@ -36,12 +37,12 @@ def _start(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _writer(batch: DataFrame, batch_id: int) -> str:
-    """Names a batch of a stream: the id that the checkpoint gives its query, and the batch."""
+def _query_id(batch: DataFrame) -> str:
+    """The id that the checkpoint gives the query of a batch."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not query:
         raise RuntimeError("a batch outside a streaming query")
-    return f"{query}-{batch_id}"
+    return query
 
 
 def _not_landed(batch: DataFrame, landed: str, writer: str) -> DataFrame:
@@ -82,21 +83,32 @@ def stream_bronze(
     cluster: bool = False,
     trigger: Mapping[str, Any] | None = None,
     landed: str | None = None,
+    redelivery: bool = True,
     salts: int = SALTS,
 ) -> StreamingQuery:
     """Land a stream of messages with source, entity, run_id, payload and a timestamp.
 
-    Set ``cluster`` where the rows of a run come in many messages. ``landed`` is a folder for the digests of messages: with
-    it, a message that is delivered again, whenever and by whichever stream, is not landed again.
+    Set ``cluster`` where the rows of a run come in many messages. ``landed`` is a folder for the digests of messages, beside the base unless
+    it is given: a message that is delivered again, whenever and by whichever stream, is not landed again, unless ``redelivery`` is off.
+    A message without a run id is a run of its own.
+
+    A bad payload fails the batch, so that nothing of it is landed or logged; with a ``quarantine`` it is kept there instead, and its run is
+    logged as failed.
     """
+    keys_at = landed or base.rstrip("/") + "_landed"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        writer = _writer(batch, batch_id)
-        if landed is not None:
-            batch = _not_landed(batch, landed, writer)
+        query = _query_id(batch)
+        writer = f"{query}-{batch_id}"
+        batch = with_given_run_ids(batch, ingested_at)
+        if redelivery:
+            batch = _not_landed(batch, keys_at, writer)
         batch.persist()
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
+            if quarantine is None:
+                named = F.concat_ws(": ", F.lit("bad payload"), "source", "entity", "run_id", "error")
+                rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(named).cast("string")))
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
             write_bronze(good.drop("_message").withColumn(BATCH, F.lit(writer)), base, cluster, [BATCH], salts)
             bad = rows.where(F.col("error").isNotNull())
@@ -104,11 +116,16 @@ def stream_bronze(
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
                 write_quarantine(kept, quarantine, writer, layer="bronze")
             if log_path is not None:
-                runs = batch.select(*rn.RUN_KEY).distinct()
-                append_run_log(rn.log_status(runs, "BRONZE_WRITTEN", now_ms()), log_path)
-            if landed is not None:
+                failed = bad.groupBy(*rn.RUN_KEY).agg(F.min("error").alias("error")) if quarantine is not None else None
+                runs, at_ms = batch.select(*rn.RUN_KEY).distinct(), now_ms()
+                written = runs if failed is None else runs.join(failed, list(rn.RUN_KEY), "left_anti")
+                events = rn.log_status(written, "BRONZE_WRITTEN", at_ms)
+                if failed is not None:
+                    events = events.unionByName(rn.log_failed(failed, at_ms, F.col("error")))
+                commit_events(events, log_path, "bronze", query, batch_id)
+            if redelivery:
                 keys = batch.select("_message", F.current_date().cast("string").alias("day"), F.lit(writer).alias(BATCH))
-                keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(landed)
+                keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(keys_at)
         finally:
             batch.unpersist()
 
@@ -142,7 +159,8 @@ def stream_silver(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        writer = _writer(batch, batch_id)
+        query = _query_id(batch)
+        writer = f"{query}-{batch_id}"
         wanted = (F.col("source") == schema.source) & (F.col("entity") == schema.entity)
         own = batch.where(wanted).select("value", *rn.RUN_KEY)
         params_col = None
@@ -163,7 +181,7 @@ def stream_silver(
             if log_path is not None:
                 counts = rn.run_metrics(good)
                 extra = F.to_json(F.struct(F.col("n_rows").alias("rows"), F.lit(writer).alias("batch")))
-                append_run_log(rn.log_status(counts, "SILVER_WRITTEN", now_ms(), extra), log_path)
+                commit_events(rn.log_status(counts, "SILVER_WRITTEN", now_ms(), extra), log_path, "silver", query, batch_id)
         finally:
             parsed.unpersist()
 

@@ -234,7 +234,8 @@ def test_quarantine_without_work_and_without_good_rows(spark, tmp_path):
     for _ in range(2):  # the second time nothing is pending
         run_silver(spark, spec, requests, f"{base}/bronze", f"{base}/silver", f"{base}/log", on_error="quarantine", quarantine_base=f"{base}/q")
     assert spark.read.parquet(f"{base}/q").count() == 1
-    assert [r.status for r in read_run_log(spark, f"{base}/log").orderBy("at_ms").collect()] == ["BRONZE_WRITTEN", "SILVER_WRITTEN"]
+    log = [(r.status, r.extra) for r in read_run_log(spark, f"{base}/log").orderBy("at_ms").collect()]
+    assert [s for s, _ in log] == ["BRONZE_WRITTEN", "SILVER_WRITTEN", "SILVER_WRITTEN"] and log[2][1] == '{"skipped":true}'
 
 
 def test_a_landing_repeated_after_a_crash_replaces_the_first(spark, tmp_path, monkeypatch):
