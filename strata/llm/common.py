@@ -22,9 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: this cuts the lineage and survives lost executors."""
+    return kept(df, name)[0]
+
+
+def kept(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
+    """The same, and the folder it was written to, for those who remove it once nothing reads it any more."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -62,3 +67,8 @@ def worker_memory(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in memory:
         memory[key] = make()
     return memory[key]
+
+
+def release_worker_memory() -> None:
+    """Drop what tasks of this process kept. For tasks that need much room of their own and may follow those of another operator."""
+    sys.modules.get("_strata_worker_memory", types.ModuleType("none")).__dict__.pop("kept", None)

@@ -7,8 +7,8 @@ features that the swap takes away or brings, beginnings included. Neutral words
 a mention is held to that of no mention. The model then can't lean on the mention of a group, and neutral mentions
 keep a low score.
 
-Only words travel: tasks turn sampled texts into hashes of words, the driver fits weights, and scoring uses the few words
-with a weight. Labels, language, source and ids are never features.
+Only words travel: tasks turn sampled texts into words, Spark counts features and chooses the telling ones, tasks turn the texts into their numbers, the
+driver fits weights to these numbers, and scoring uses the few features with a weight. Labels, language, source and ids are never features.
 
 Defined cases: null and empty texts get the score of no words; labels that are null are left out, repeated ones count
 once (toxic if any says so); without both classes in the sample the score is the share of toxic labels.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import as_bytes, record_batch
+from strata.llm.common import as_bytes, record_batch, release_worker_memory, saved
 
 #: Identity terms by group, the last of each being a neutral word.
 IDENTITY_GROUPS = [
@@ -91,10 +91,10 @@ def swapped_features(words: set[bytes], groups: list[list[bytes]], neutral: froz
 def fit(
     features: list[np.ndarray],
     labels: np.ndarray,
-    changes: list[tuple[tuple[int, ...], tuple[int, ...]]],
+    changes: Iterable[tuple[tuple[int, ...], tuple[int, ...]]] | Counter,
     n_features: int,
     *,
-    l1: float = 5e-4,
+    l1: float = 2e-4,
     l2: float = 1e-5,
     counterfactual: float = 1.0,
     steps: int = 400,
@@ -156,7 +156,7 @@ def held_out(key: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int) -> DataFrame:
-    """At most `most` labelled texts, chosen by hash of their ids, as rows label, words (sorted, by lines).
+    """At most `most` labelled texts, chosen by hash of their ids, as rows toxic, words (sorted, by lines).
     Equal texts count once, as toxic if any is."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label")).where("_label is not null and _key is not null")
     chosen = known.where(~held_out(F.col("_key"))).groupBy("_key").agg(F.max("_label").alias("_label"))
@@ -166,12 +166,52 @@ def training_texts(docs: DataFrame, labels: DataFrame, key: str, text: str, labe
     joined = texts.join(chosen, "_key").groupBy(same.alias("_same")).agg(F.max("_label").alias("_label"), F.min("_text").alias("_text"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("label", pa.float64()), ("words", pa.binary())])
         for batch in batches:
-            for value, content in zip(batch.column("_label").to_pylist(), as_bytes(batch.column("_text"))):
-                yield record_batch({"label": [float(value)], "words": [b"\n".join(sorted(word_set(content)))]}, schema)
+            found = [b"\n".join(sorted(word_set(content))) for content in as_bytes(batch.column("_text"))]
+            yield record_batch({"toxic": batch.column("toxic"), "words": found}, pa.schema([("toxic", pa.int64()), ("words", pa.binary())]))
 
-    return joined.select("_label", "_text").mapInArrow(words, "label double, words binary")
+    return joined.select((F.col("_label") > 0).cast("bigint").alias("toxic"), "_text").mapInArrow(words, "toxic bigint, words binary")
+
+
+def feature_counts(texts: DataFrame, neutral: frozenset[bytes]) -> DataFrame:
+    """Rows feature, n, n_toxic: how many of the sampled texts have a feature, and how many of the toxic ones."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("feature", pa.binary()), ("n", pa.int64()), ("n_toxic", pa.int64())])
+        for batch in batches:
+            counts = Counter(), Counter()
+            for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
+                own = features_of(set(words.split(b"\n")) - neutral - {b""})
+                counts[0].update(own)
+                if toxic:
+                    counts[1].update(own)
+            names = list(counts[0])
+            yield record_batch({"feature": names, "n": [counts[0][x] for x in names], "n_toxic": [counts[1][x] for x in names]}, schema)
+
+    counted = texts.mapInArrow(count, "feature binary, n bigint, n_toxic bigint")
+    return counted.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+
+
+def sample_rows(texts: DataFrame, vocabulary: dict[bytes, int], groups: list[list[bytes]], neutral: frozenset[bytes]) -> DataFrame:
+    """What the fit needs to know, in numbers of features: a row toxic, own for each text, and a row lost, gained, n for each
+    different change by a swap of identity terms."""
+    layout = "toxic bigint, own array<int>, lost array<int>, gained array<int>, n bigint"
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = pa.list_(pa.int32())
+        schema = pa.schema([("toxic", pa.int64()), ("own", ids), ("lost", ids), ("gained", ids), ("n", pa.int64())])
+        known = vocabulary.keys()
+        numbers = lambda own: tuple(sorted(map(vocabulary.__getitem__, own & known)))
+        for batch in batches:
+            texts, changes = [], Counter()
+            for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
+                own = set(words.split(b"\n")) - {b""}
+                texts.append((toxic, numbers(features_of(own - neutral))))
+                changes.update((numbers(lost), numbers(gained)) for lost, gained in swapped_features(own, groups, neutral))
+            rows = [(t, own, None, None, None) for t, own in texts] + [(None, None, *change, n) for change, n in changes.items()]
+            yield record_batch(dict(zip(schema.names, zip(*rows))) if rows else {c: [] for c in schema.names}, schema)
+
+    return texts.mapInArrow(number, layout)
 
 
 def train(
@@ -182,38 +222,38 @@ def train(
     label: str = "toxic",
     *,
     most: int = 8_000,
-    least_texts: int = 5,
-    least_chi2: float = 15.0,
+    least_texts: int = 3,
+    chi2_share: float = 0.002,
+    chi2_limits: tuple[float, float] = (5.0, 15.0),
     groups: list[list[str]] = IDENTITY_GROUPS,
     counterfactual: float = 1.0,
+    l1: float = 2e-4,
 ) -> Model:
-    """Fit on at most `most` labelled texts; words get a weight only if `least_texts` of them hold the word and
-    its share of toxic ones differs from the share of all by a chi-square of `least_chi2`."""
-    rows = training_texts(docs, labels, key, text, label, most).toPandas()
-    if not len(rows):
-        return Model(-500.0, {})
-    y = (rows["label"].to_numpy() > 0).astype(float)
-    if y.min() == y.max():
-        return Model(500.0 if y[0] else -500.0, {})
+    """Fit on at most `most` labelled texts. A word or beginning gets a weight only if `least_texts` of them hold it and its share of
+    toxic ones differs from the share of all by a chi-square of `chi2_share` of their number, within `chi2_limits`: a statistic of a given effect grows
+    with the number of texts, so few labels need a lower limit.
+
+    Features are counted and chosen by Spark; what comes to the driver are the chosen ones and their numbers in the sampled texts.
+    """
+    texts = saved(training_texts(docs, labels, key, text, label, most), "sample")
+    m, toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if toxic in (0, m):
+        return Model(500.0 if toxic else -500.0, {})
     terms = [[t.encode() for t in group] for group in groups]
     neutral = frozenset(group[-1] for group in terms)
-    texts = [set(words.split(b"\n")) for words in rows["words"]]
-    sets = [features_of(own - neutral) for own in texts]
-    counts = [Counter(), Counter()]
-    for own, toxic in zip(sets, y):
-        counts[0].update(own)
-        if toxic:
-            counts[1].update(own)
-    expected = {w: n * y.mean() for w, n in counts[0].items() if n >= least_texts and w}
-    telling = {w for w, e in expected.items() if (counts[1][w] - e) ** 2 >= least_chi2 * e * (1 - y.mean())}
+    share, limit = toxic / m, min(max(chi2_share * m, chi2_limits[0]), chi2_limits[1])
+    expected = F.col("n") * share
+    telling = feature_counts(texts, neutral).where(F.col("n") >= least_texts)
+    telling = telling.where(F.pow(F.col("n_toxic") - expected, F.lit(2)) >= limit * expected * (1 - share))
     identity = features_of({t for group in terms for t in group} - neutral)
-    vocabulary = {w: i for i, w in enumerate(sorted(telling | identity))}
-    ids = lambda own: [vocabulary[w] for w in sorted(own & vocabulary.keys())]
-    features, changes = [], []
-    for words, present in zip(texts, sets):
-        features.append(np.array(ids(present), np.int64))
-        changes += [(tuple(ids(lost)), tuple(ids(gained))) for lost, gained in swapped_features(words, terms, neutral)]
-    bias, weights = fit(features, y, changes, len(vocabulary), counterfactual=counterfactual)
+    vocabulary = {w: i for i, w in enumerate(sorted({bytes(r.feature) for r in telling.select("feature").collect()} | identity))}
+    rows = saved(sample_rows(texts, vocabulary, terms, neutral), "numbers")
+    sample = rows.where("own is not null").select("toxic", "own").toArrow()
+    changed = rows.where("n is not null").groupBy("lost", "gained").agg(F.sum("n").alias("n")).toArrow()
+    own = sample.column("own").combine_chunks()
+    features = np.split(own.values.to_numpy(), own.offsets.to_numpy()[1:-1]) if len(own) else []
+    changes = Counter({(tuple(x["lost"]), tuple(x["gained"])): x["n"] for x in changed.to_pylist()})
+    bias, weights = fit(features, sample.column("toxic").to_numpy().astype(float), changes, len(vocabulary), l1=l1, counterfactual=counterfactual)
     return Model(bias, {w: float(weights[i]) for w, i in vocabulary.items() if weights[i]}, neutral)
 
 
@@ -222,6 +262,7 @@ def score_texts(docs: DataFrame, text: str, model: Model, name: str = "score") -
     layout = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_memory()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             yield batch.append_column(name, pa.array([model.score(t) for t in as_bytes(texts)], pa.float64()))
