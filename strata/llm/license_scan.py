@@ -1,17 +1,19 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences, which are normalised and mapped to identifiers of known licence sentences; what is unknown is
-left out. The identifiers of a text, in order, are then matched against licence rules, which are sequences of
-identifiers that must follow each other. Rules are tried in their order, and what a rule has used no later rule can use.
-All steps are built-in expressions on the row.
+A text that holds any of a few words, of which every licence has one, is unwrapped and cut into sentences, which are normalised and mapped to identifiers of known
+licence sentences; what is unknown is left out. A sentence with names in it is known as a template with one free slot, of any length. The identifiers of a text, in order,
+are then matched against licence rules, which are sequences of identifiers that must follow each other. Rules are tried in their order, and what a rule has used no
+later rule can use. All steps are built-in expressions on the row.
 
 Defined cases: null and empty texts have no sentences; a text without known sentences has no licence; known
-sentences that no rule uses are counted as left over.
+sentences that no rule uses are counted as left over. Sentences are counted as printed, before lines are joined.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,13 +79,52 @@ SENTENCES = [
     ("CCBYNC4", "Licensed under CC BY-NC 4.0"),
     ("CCBY4", "Licensed under CC BY 4.0"),
     ("CCBYSA4", "Licensed under CC BY-SA 4.0"),
+    ("CC0Title", "CC0 1.0 Universal"),
+    ("CC0Title", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("CC0Title", "Creative Commons CC0 1.0 Universal"),
+    ("CC0Waiver", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    *[
+        (f"{name}Title", f"{title} {version}")
+        for name, title, versions in [
+            ("GPL3", "GNU GENERAL PUBLIC LICENSE", ["Version 3", "Version 3, 29 June 2007"]),
+            ("GPL2", "GNU GENERAL PUBLIC LICENSE", ["Version 2", "Version 2, June 1991"]),
+            ("LGPL3", "GNU LESSER GENERAL PUBLIC LICENSE", ["Version 3", "Version 3, 29 June 2007"]),
+            ("LGPL21", "GNU LESSER GENERAL PUBLIC LICENSE", ["Version 2.1", "Version 2.1, February 1999"]),
+            ("AGPL3", "GNU AFFERO GENERAL PUBLIC LICENSE", ["Version 3", "Version 3, 19 November 2007"]),
+            ("MPL2", "Mozilla Public License", ["Version 2.0"]),
+            ("EPL2", "Eclipse Public License", ["- v 2.0", "v 2.0", "Version 2.0"]),
+            ("OFL11", "SIL OPEN FONT LICENSE", ["Version 1.1", "Version 1.1 - 26 February 2007"]),
+        ]
+        for version in versions
+    ],
+    ("EPL2Available", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("EPL2Available", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL2Available", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at"),
+    ("OFL11Licensed", "This Font Software is licensed under the SIL Open Font License, Version 1.1"),
+    ("SPDXTag", "SPDX-License-Identifier"),
+    *[
+        (f"SPDX {name}", name)
+        for name in [
+            "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0",
+            "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later",
+            "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "OFL-1.1", "Unlicense", "Zlib",
+        ]
+    ],
     ("MPL2", "This Source Code Form is subject to the terms of the Mozilla Public License, v"),
     ("MPL2Version", "2.0"),
 ]
 
 #: Licences and the sentences they are known by, the more specific before the less.
 RULES = [
+    *[(name, ["SPDXTag", f"SPDX {name}"]) for name in (x[5:] for x, _ in SENTENCES if x.startswith("SPDX "))],
     ("Apache-2.0", ["ApacheTitle"]),
+    *[
+        (name, [f"{title}Title"])
+        for name, title in [("GPL-3.0-only", "GPL3"), ("GPL-2.0-only", "GPL2"), ("LGPL-3.0-only", "LGPL3"), ("LGPL-2.1-only", "LGPL21"), ("AGPL-3.0-only", "AGPL3"), ("MPL-2.0", "MPL2"), ("EPL-2.0", "EPL2"), ("OFL-1.1", "OFL11"), ("CC0-1.0", "CC0")]
+    ],
+    ("CC0-1.0", ["CC0Waiver"]),
+    ("EPL-2.0", ["EPL2Available"]),
+    ("OFL-1.1", ["OFL11Licensed"]),
     ("Apache-2.0", ["ApacheLicensed", "ApacheMayNotUse", "ApacheCopy", "ApacheUnless", "ApacheSee"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPL3Redistribute", "GPLHope"]),
     ("GPL-2.0-or-later", ["GPLFree", "GPL2Redistribute", "GPLHope"]),
@@ -127,6 +168,8 @@ RULES = [
 #: Beginnings of known sentences, as printed, and notices that are often printed without a full stop.
 _OPENINGS = sorted({r"[ \t\r]+".join(re.escape(w) for w in sentence.split(" ")[:3]) for _, sentence in SENTENCES if sentence.count(" ") > 2 and sentence[0].isupper()})
 _NOTICES = sorted({re.escape(sentence) for _, sentence in SENTENCES if re.match("(Licensed|Released|Distributed|This work is licensed) under", sentence)}, key=len, reverse=True)
+#: Of these every known sentence holds one, in some case, but for the names behind a tag, whose tag does.
+MARKS = ["licens", "licenc", "permission", "permitted", "redistribut", "free software", "warrant", "liable", "creative commons", "cc0", "cc by", "public domain", "2.0"]
 #: What comment lines begin with.
 _LEAD = r"[ \t#*/%;-]*"
 
@@ -135,6 +178,7 @@ _LEAD = r"[ \t#*/%;-]*"
 #: names of holders and a mark one form.
 WRAPS = [
     (r"\r\n", "\n"),
+    (r"(?i)(SPDX-License-Identifier:[^\n]*)\n", r"\1;"),
     (r",[ \t\r]*\n[ \t#*/;]*", ", "),
     (rf"\n{_LEAD}\n[ \t\n#*/%;-]*", ";"),
     (r"\n[ \t#*/]*(?:[0-9]{1,2}[.)]|\([0-9a-z]{1,3}\)|-)[ \t]+", ";"),
@@ -142,7 +186,8 @@ WRAPS = [
     (rf"(?i)((?:{'|'.join(_NOTICES)}))[ \t\r]*\n", r"\1;"),
     (rf"\n{_LEAD}((?:{'|'.join(_OPENINGS)}))", r";\1"),
     (rf"\n{_LEAD}", " "),
-    (r"(?i)neither +the +names? +of .{1,120}? nor +the +names? +of ", "Neither the name of the copyright holder nor the names of "),
+    (r"(?i)neither +the +names? +of [^\n;:!?]*? nor +the +names? +of ", "Neither the name of the copyright holder nor the names of "),
+    (r"(?i)the +name +of [^\n;:!?]*? may +not +be +used +to +endorse ", "The name of the author may not be used to endorse "),
     (r"(?i)Software +Foundation;[ \t]*(either version|version) ", r"Software Foundation, \1 "),
 ]
 #: Ends of sentences: other line ends, semicolons and colons, and full stops, exclamation and question marks before white space.
@@ -160,10 +205,10 @@ def normalised(sentence: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    body = F.coalesce(text, F.lit(""))
+    """The sentences of a text whose lines are joined."""
     for pattern, by in WRAPS:
-        body = F.regexp_replace(body, pattern, by.replace("\\1", "$1"))
-    return F.split(body, SENTENCE_END)
+        text = F.regexp_replace(text, pattern, by.replace("\\1", "$1"))
+    return F.split(text, SENTENCE_END)
 
 
 def known_parts(table: list[tuple[str, str]]) -> list[tuple[str, list[str]]]:
@@ -171,14 +216,14 @@ def known_parts(table: list[tuple[str, str]]) -> list[tuple[str, list[str]]]:
     return [(name, list(filter(None, (normalise(s) for s in re.split(SENTENCE_END, sentence + "\n"))))) for name, sentence in table]
 
 
-def known_ids(text: Column, table: list[tuple[str, str]] = SENTENCES) -> Column:
-    """Identifiers of the known sentences of a text, in order. A sentence is normalised only where its first word is
+def known_ids(parts: Column, table: list[tuple[str, str]] = SENTENCES) -> Column:
+    """Identifiers of the known ones of some sentences, in order. A sentence is normalised only where its first word is
     one that a known sentence begins with."""
     known = {part: name for name, parts in known_parts(table) for part in parts}
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    begins = "|".join(sorted({k.split(" ")[0] for k in known}))
+    begins = "|".join(sorted({re.escape(k.split(" ")[0]) for k in known}))
     opening = rf"(?i)^[^a-z0-9.]*(?:{begins})(?![a-z0-9.])"
-    likely = F.filter(sentences(text), lambda s: s.rlike(opening))
+    likely = F.filter(parts, lambda s: s.rlike(opening))
     found = F.transform(likely, lambda s: F.coalesce(lookup[normalised(s)], F.lit("")))
     return F.array_remove(found, "")
 
@@ -186,11 +231,14 @@ def known_ids(text: Column, table: list[tuple[str, str]] = SENTENCES) -> Column:
 def scan_licenses(docs: DataFrame, key: str, text: str, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """One row per row of docs: key, n_sentences (with a letter or digit), sentence_ids, licenses (names, sorted, each
     once) and n_left (known sentences that no rule used)."""
-    body = F.col(f"`{text}`")
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    small = ascii_lower(body)
+    marked = reduce(or_, [F.contains(small, F.lit(mark)) for mark in MARKS])
     rows = docs.select(
         F.col(f"`{key}`").alias(key),
-        F.size(F.filter(sentences(body), lambda s: s.rlike("[A-Za-z0-9]"))).cast("bigint").alias("n_sentences"),
-        known_ids(body).alias("sentence_ids"),
+        F.size(F.filter(F.split(body, SENTENCE_END), lambda s: s.rlike("[A-Za-z0-9]"))).cast("bigint").alias("n_sentences"),
+        # Nothing is unwrapped or cut in other texts.
+        F.when(marked, known_ids(sentences(body))).otherwise(F.array().cast("array<string>")).alias("sentence_ids"),
     )
     rest, names = F.concat(F.lit(" "), F.concat_ws("  ", "sentence_ids"), F.lit(" ")), []
     for number, (name, ids) in enumerate(rules):

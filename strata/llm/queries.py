@@ -30,6 +30,7 @@ URL_RULES = "block net/, allow example.net/en/, block example.com/de/, allow org
 TOKEN_LIMIT = 1024
 SEQUENCE = 4096
 LONGEST_REPEAT = 50
+COVERED_SHARE = 60
 
 
 def tokenizer_path(name: str) -> str:
@@ -151,6 +152,7 @@ def _license_sql() -> str:
     for pattern, by in ls.WRAPS:
         body = f"regexp_replace({body}, {quoted(pattern)}, {quoted(by)}, 'g')"
     pairs = ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in known.items())
+    marked = " OR ".join(f"contains(translate(coalesce(text, ''), {_LOWER}), {quoted(mark)})" for mark in ls.MARKS)
     normal = f"regexp_replace(trim(regexp_replace(translate(s, {_LOWER}), '[^a-z0-9.]+', ' ', 'g')), ' ?\\.$', '')"
     steps, names = [], []
     for number, (name, ids) in enumerate(ls.RULES):
@@ -160,9 +162,13 @@ def _license_sql() -> str:
     last = len(ls.RULES)
     return f"""
     WITH names AS (SELECT MAP {{{pairs}}} AS known),
-    cut AS (SELECT doc_id, string_split_regex({body}, {quoted(ls.SENTENCE_END)}) AS parts FROM documents),
+    cut AS (
+        SELECT doc_id, string_split_regex(coalesce(text, ''), {quoted(ls.SENTENCE_END)}) AS printed,
+               CASE WHEN {marked} THEN string_split_regex({body}, {quoted(ls.SENTENCE_END)}) ELSE [] END AS parts
+        FROM documents
+    ),
     seen AS (
-        SELECT doc_id, CAST(len(list_filter(parts, lambda s: regexp_matches(s, '[A-Za-z0-9]'))) AS BIGINT) AS n_sentences,
+        SELECT doc_id, CAST(len(list_filter(printed, lambda s: regexp_matches(s, '[A-Za-z0-9]'))) AS BIGINT) AS n_sentences,
                list_filter(list_transform(parts, lambda s: known[{normal}]), lambda x: x IS NOT NULL) AS ids
         FROM cut, names
     ),
@@ -206,16 +212,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def repetition_verdicts(rows: DataFrame) -> DataFrame:
+    """The base, and the method's verdict: repeated substrings of three words or more cover at most COVERED_SHARE percent of the characters of all words, and
+    none is longer than LONGEST_REPEAT words or, in texts where a tenth of the words is less, than that tenth, ten words being allowed always."""
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    few = 100 * F.col("covered_chars") <= COVERED_SHARE * F.col("word_chars")
+    longest = F.least(F.lit(LONGEST_REPEAT), F.greatest(F.lit(10), F.col("n_words") / 10))
+    return rows.withColumns({"base_failed": failed, "kept": ~failed & few & (F.col("longest_repeat") <= longest)})
+
+
 @query()
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The method's verdict: no repeated substring of more than LONGEST_REPEAT words; that covered words are at most a fifth of all
-    is in the base already."""
-    rows = rp.repetition(table(spark, sf_dir, "documents"), "doc_id", "text")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & (F.col("longest_repeat") <= LONGEST_REPEAT)).alias("kept"),
-    )
+    rows = repetition_verdicts(rp.repetition(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query()

@@ -108,24 +108,38 @@ def merged_runs(inside: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def repetition(docs: DataFrame, key: str, text: str, *, least: int = 5, batch_words: int = 400_000) -> DataFrame:
+def code_points(words: list[bytes]) -> np.ndarray:
+    """How many code points each word has."""
+    if not words:
+        return np.zeros(0, np.int64)
+    begins = np.frombuffer(b"".join(words), np.uint8) & 0xC0 != 0x80
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    return np.diff(np.concatenate(([0], np.cumsum(begins)))[np.concatenate(([0], ends))])
+
+
+def repetition(docs: DataFrame, key: str, text: str, *, least: int = 5, short: int = 3, batch_words: int = 400_000) -> DataFrame:
     """One row per row of docs: key, n_words, word_chars (code points in words), n_symbols, n_dup_lines (lines with a word
-    that equal an earlier line), n_repeat_words (words in repeated substrings of at least `least` words),
-    longest_repeat (words) and repeat_spans (begin and end of the covered runs of words)."""
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat"]
+    that equal an earlier line), n_repeat_words (words in repeated substrings of at least `least` words), covered_chars (code points in words that lie
+    in repeated substrings of at least `short` words, at most `least`), longest_repeat (words, of those of `short` at least) and repeat_spans (begin and end
+    of the runs of words that repeats of `least` cover)."""
+    if not 0 < short <= least:
+        raise ValueError("short repeats must not be longer than others")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat"]
     layout = f"key {docs.schema[key].dataType.simpleString()}, {', '.join(f'{c} bigint' for c in counts)}, repeat_spans array<bigint>"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, texts, rows, size = [], [], [], 0
 
         def flush():
-            repeats = longest_repeats(word_numbers(texts), least)
-            inside = covered(repeats, maximal_spans(repeats))
+            repeats = longest_repeats(word_numbers(texts), short)
+            longer = np.where(repeats < least, 0, repeats)
+            inside, near = (covered(r, maximal_spans(r)) for r in (longer, repeats))
             at, columns, spans = 0, [], []
             for words, row in zip(texts, rows):
                 part = slice(at, at + len(words))
                 spans.append(merged_runs(inside[part]) if inside[part].any() else [])
-                columns.append((*row, int(inside[part].sum()), int(repeats[part].max(initial=0))))
+                chars = int(code_points(words)[near[part]].sum()) if near[part].any() else 0
+                columns.append((*row, int(inside[part].sum()), chars, int(repeats[part].max(initial=0))))
                 at += len(words) + 1
             arrays = [pa.array(c, pa.int64()) for c in zip(*columns)]
             return pa.RecordBatch.from_arrays([pa.array(keys, key_type), *arrays, pa.array(spans, pa.list_(pa.int64()))], names=["key", *counts, "repeat_spans"])

@@ -100,10 +100,13 @@ def repetition_row(i, text) -> tuple:
     own, text = words(text), text or ""
     counts = Counter(tuple(own[k : k + 5]) for k in range(len(own) - 4))
     hit = {j for k in range(len(own) - 4) if counts[tuple(own[k : k + 5])] > 1 for j in range(k, k + 5)}
-    longer = Counter(tuple(own[k : k + 51]) for k in range(len(own) - 50))
+    triples = Counter(tuple(own[k : k + 3]) for k in range(len(own) - 2))
+    near = {j for k in range(len(own) - 2) if triples[tuple(own[k : k + 3])] > 1 for j in range(k, k + 3)}
+    most = int(min(50, max(10, len(own) / 10)))
+    longer = Counter(tuple(own[k : k + most + 1]) for k in range(len(own) - most))
     lines = [line for line in text.split("\n") if words(line)]
     failed = len(own) < 10 or 100 * len(hit) > 20 * len(own)
-    kept = not failed and all(n == 1 for n in longer.values())
+    kept = not failed and all(n == 1 for n in longer.values()) and 100 * sum(len(own[j]) for j in near) <= 60 * sum(map(len, own))
     symbols = sum(c in "#*$%&|<>" for c in text)
     return i, len(own), sum(map(len, own)), symbols, len(lines) - len(set(lines)), len(hit), failed, kept
 

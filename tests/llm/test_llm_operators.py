@@ -19,11 +19,11 @@ from strata.llm.bpe_automaton import Automaton, Encoder, encoded
 from strata.llm.components import components
 from strata.llm.jaccard_join import linked_documents
 from strata.llm.license_scan import scan_licenses
-from strata.llm.queries import LONGEST_REPEAT, tokenizer_path
+from strata.llm.queries import repetition_verdicts, tokenizer_path
 from strata.llm.repetition import repetition
 from strata.llm.token_counts import Counter as TokenCounter
 from strata.llm.token_counts import load, token_counts
-from strata.llm.toxicity import IDENTITY_GROUPS, fit, score_texts, swapped_features, swaps, train
+from strata.llm.toxicity import IDENTITY_GROUPS, fit, held_out, score_texts, swapped_features, swaps, train
 
 
 @pytest.fixture(scope="module")
@@ -203,6 +203,70 @@ def test_licenses_as_published(spark, lead):
         assert [got[i] for i, _ in cases] == [(want, 0 if want else 1) for _, want in data.LICENSES for _ in range(2)]
 
 
+def plain_licenses(text):
+    """Written apart from the operator's patterns: the words of a text without marks and comment signs, searched for the words of rules' sentences,
+    which may stand one after the other only. Fit for texts that hold licences as they are printed."""
+    def bare(t):
+        return re.findall(r"[a-z0-9.]+", re.sub(r"\.(?![0-9])", " ", t.lower()))
+
+    words = " " + " ".join(bare(text)) + " "
+    words = re.sub(r" neither the names? of .*? nor the names? of .*? may be used ", " neither the name of the copyright holder nor the names of its contributors may be used ", words)
+    return sorted({name for name, probe in PROBES.items() if all(f" {' '.join(bare(p))} " in words for p in probe)})
+
+
+#: What names a licence, as printed in it.
+PROBES = {
+    "BSD-3-Clause": ["Redistribution and use in source and binary forms", "Neither the name of the copyright holder nor the names of its contributors may be used"],
+    "GPL-3.0-only": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "GPL-2.0-only": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL-2.1-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0-only": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "EPL-2.0": ["Eclipse Public License - v 2.0"],
+    "CC0-1.0": ["Creative Commons Legal Code CC0 1.0 Universal"],
+    "OFL-1.1": ["SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007"],
+    "MIT": ["SPDX-License-Identifier: MIT"],
+    "Apache-2.0": ["SPDX-License-Identifier: Apache-2.0"],
+}
+
+BSD = """Copyright (c) 2001, The Holder
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+"""
+TITLES = [
+    "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy",
+    "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991",
+    "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n\n Copyright",
+    "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright",
+    "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n Copyright",
+    "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------",
+    "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE",
+    "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM",
+    "-----------------------------------------------------------\nSIL OPEN FONT LICENSE Version 1.1 - 26 February 2007\n-----------------------------------------------------------\n\nPREAMBLE",
+    "// SPDX-License-Identifier: MIT\n// Copyright 2020 The Authors\n#include <x>",
+    "/* SPDX-License-Identifier: Apache-2.0 */\nint main() { return 0; }",
+]
+
+
+def test_licenses_against_a_plain_matcher(spark):
+    holders = ["the copyright holder", "Foo, Inc.", "the University of " + "Somewhere and " * 40 + "Elsewhere", "X"]
+    texts = [BSD.format(h) for h in holders] + TITLES + ["\n\n".join(textwrap.fill(p, 70) for p in BSD.format(holders[2]).split("\n\n")), "no licence here", "a note on the Mozilla Public License Version 2.0 and more"]
+    texts = [t for text in texts for t in (text, f"/*\n{text}\n*/\n")]
+    got = {r.doc_id: r.licenses for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "doc_id", "text").collect()}
+    assert [got[i] for i in range(len(texts) - 2)] == [plain_licenses(t) for t in texts[:-2]]
+    assert got[0] == ["BSD-3-Clause"] and all(got[i] for i in range(2 * len(holders + TITLES)))
+    assert got[len(texts) - 2] == []
+
+
 # 6 ----------------------------------------------------------------------------------------------------
 
 
@@ -329,18 +393,52 @@ def test_counterfactuals_of_beginnings(spark):
     assert found == {(b"muslims", b"people"): ({b"muslims"}, set())}
 
 
+def test_held_out_texts(spark):
+    """Learned from four of five labels of sf0.1. Six of the 97 toxic held-out texts are junk without any word that toxic ones share, so no more than 91 can be found."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = train(docs.select("doc_id", "text"), labels)
+    known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
+    scored = score_texts(docs.select("doc_id", "text"), "text", model).join(known, "doc_id").select("toxic", "score").collect()
+    toxic = [r.score >= 0.5 for r in scored if r.toxic]
+    assert len(toxic) == 97 and sum(toxic) >= 85
+    assert not any(r.score >= 0.5 for r in scored if not r.toxic)
+    for group in IDENTITY_GROUPS:
+        assert all(model.score(f"the {term} of the town were at the market".encode()) < 0.5 for term in group)
+
+
 # 9 ----------------------------------------------------------------------------------------------------
 
 
-def test_repetition(docs, none):
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+def repetition_texts():
+    """Besides the usual ones: repeats of three and four words in many proportions, overlapping and long ones."""
+    rng, texts = random.Random(9), []
+    for n in range(60):
+        unit = data.prose(rng, rng.choice([2, 3, 4]))
+        texts.append(" ".join(unit if rng.random() < n / 60 else data.prose(rng, rng.choice([1, 3])) for _ in range(30)))
+    block = data.prose(rng, 55)
+    texts += [f"{block} {data.prose(rng, n)} {block}" for n in (300, 600)] + ["é ü ñ " + data.prose(rng, 7) + " é ü ñ", "k " * 9 + data.prose(rng, 200)]
+    return list(enumerate(texts, 100))
+
+
+def test_repetition(spark, none):
+    rows = [*data.rows(), *[(i, t, *[None] * 9) for i, t in repetition_texts()]]
+    docs = data.documents(spark, rows).repartition(3)
     for batch_words in (400_000, 50):
-        rows = repetition(docs, "doc_id", "text", batch_words=batch_words)
-        got = rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed, ~failed & (F.col("longest_repeat") <= LONGEST_REPEAT))
-        assert collected(got) == Counter(data.repetition_row(i, t) for i, t in pairs())
+        got = repetition_verdicts(repetition(docs, "doc_id", "text", batch_words=batch_words))
+        names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+        assert collected(got, *names) == Counter(data.repetition_row(r[0], r[1]) for r in rows)
     assert repetition(none, "doc_id", "text").count() == 0
 
 
+def test_short_repeats_are_not_kept(spark):
+    """Spam of four words and a new one, over and over, has no repeat of five words."""
+    spam = " ".join(f"buy cheap pills now word{i}" for i in range(100))
+    rows = [(1, spam), (2, data.prose(random.Random(3), 500)), (3, "one two three four five six seven eight nine ten")]
+    got = repetition_verdicts(repetition(spark.createDataFrame(rows, "id int, text string"), "id", "text")).collect()
+    assert {r.id: (r.n_repeat_words, r.base_failed, r.kept) for r in got} == {1: (0, False, False), 2: (0, False, True), 3: (0, False, True)}
+
+
 def test_repeat_spans(spark):
     rows = [(1, "a b c d e f x y z a b c d e f q"), (2, "k " * 9)]
     got = {r.id: (r.repeat_spans, r.longest_repeat) for r in repetition(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect()}
