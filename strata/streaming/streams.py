@@ -7,6 +7,7 @@ begins anew with another checkpoint, never replaces what is there.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -21,7 +22,8 @@ from strata.operators.transforms import check_rows
 from strata.plans.pipeline import now_ms, payload_rows, with_given_run_ids
 from strata.plans.runlog import commit_events
 from strata.plans.spec import Schema
-from strata.sinks.layers import write_bronze, write_quarantine, write_silver
+from strata.plans.workspace import work_dir
+from strata.sinks.layers import remove_files, write_bronze, write_quarantine, write_silver
 from strata.sources.bronze import BRONZE_PARTITIONS, parse_lines, with_ingestion_partitions
 
 BATCH = "batch_id"
@@ -45,20 +47,71 @@ def _query_id(batch: DataFrame) -> str:
     return query
 
 
-def _not_landed(batch: DataFrame, landed: str, writer: str) -> DataFrame:
-    """First deliveries of a batch: one row per message, without those that other batches have landed.
+# Folders that landed keys are dealt to by their digest.
+LANDED_BUCKETS = 64
+# Up to so many keys of a batch are looked up by value, which the Bloom filters of the files answer; it is the most that Spark sends to a scan one by one.
+FEW_KEYS = 10
+_LANDED_DDL = "_message string, bucket string, batch_id string"
 
-    Keys are kept per day of landing; those of the batch itself, written before a failure, don't count.
-    """
+
+def _with_message_key(batch: DataFrame) -> DataFrame:
+    """The digest of each message, and the bucket that it falls in."""
     key = F.sha2(F.to_json(F.struct(*rn.RUN_KEY, "payload"), {"ignoreNullFields": "false"}), 256)
-    fresh = batch.withColumn("_message", key).dropDuplicates(["_message"])
+    bucket = F.pmod(F.conv(F.substring("_message", 1, 8), 16, 10).cast("bigint"), F.lit(LANDED_BUCKETS)).cast("string")
+    return batch.withColumn("_message", key).withColumn("_bucket", bucket)
+
+
+def _known_keys(spark: SparkSession, landed: str, fresh: DataFrame, writer: str) -> DataFrame | None:
+    """Keys that other batches have landed, as far as those of ``fresh`` may be among them: only the buckets of the batch are listed and read, and of
+    their files, if the batch has few keys, only those row groups whose Bloom filters hold one. Keys of the batch itself, written before a
+    failure, don't count."""
     try:
-        known = batch.sparkSession.read.schema("_message string, day string, batch_id string").parquet(landed)
+        known = spark.read.schema(_LANDED_DDL).parquet(landed)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return fresh
-    return fresh.join(known.where(F.col(BATCH) != writer).select("_message"), "_message", "left_anti")
+        return None
+    few = [r[0] for r in fresh.select("_message").limit(FEW_KEYS + 1).collect()]
+    if len(few) <= FEW_KEYS:
+        known = known.where(F.col("_message").isin(few))
+    buckets = [r[0] for r in fresh.select("_bucket").distinct().collect()]
+    return known.where(F.col("bucket").isin(buckets) & (F.col(BATCH) != writer)).select("_message")
+
+
+def _not_landed(batch: DataFrame, landed: str, writer: str) -> DataFrame:
+    """First deliveries of a batch: one row per message, without those that other batches have landed. ``batch`` should be persisted."""
+    fresh = _with_message_key(batch).dropDuplicates(["_message"])
+    known = _known_keys(batch.sparkSession, landed, fresh, writer)
+    return fresh if known is None else fresh.join(known, "_message", "left_anti")
+
+
+def _write_landed(keys: DataFrame, landed: str, writer: str) -> None:
+    """One sorted file per bucket, with a Bloom filter over its keys."""
+    named = keys.select("_message", F.col("_bucket").alias("bucket"), F.lit(writer).alias(BATCH))
+    (
+        named.repartition("bucket").sortWithinPartitions("bucket", "_message").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("parquet.bloom.filter.enabled#_message", "true")
+        .partitionBy("bucket", BATCH).parquet(landed)
+    )
+
+
+def compact_landed(spark: SparkSession, landed: str) -> None:
+    """Bring the keys of all batches but the newest of each stream into one file per bucket. A key that is there twice, as after a crash in between, does
+    no harm. Not while a batch is under way, which could miss a file that it listed and would be played again."""
+    files = spark.read.schema(_LANDED_DDL).parquet(landed).withColumn("file", F.col("_metadata.file_path"))
+    number = F.substring_index(BATCH, "-", -1).try_cast("bigint")
+    stream = F.regexp_replace(BATCH, "-[^-]*$", "")
+    batches = files.select(BATCH).distinct().select(BATCH, number.alias("_n"), stream.alias("_stream"))
+    newest = batches.groupBy("_stream").agg(F.max("_n").alias("_newest"))
+    old = batches.join(newest, "_stream").where((F.col("_n") < F.col("_newest")) | F.col(BATCH).startswith("compacted-")).select(BATCH)
+    folder = work_dir(spark, "landed")
+    files.join(old, BATCH, "left_semi").select("file").distinct().write.parquet(folder)
+    listed = spark.read.schema("file string").parquet(folder)
+    if not listed.take(1):
+        return
+    keys = files.join(listed, "file", "left_semi").select("_message", F.col("bucket").alias("_bucket")).distinct()
+    _write_landed(keys, landed, f"compacted-{uuid.uuid4().hex}-0")
+    remove_files(spark, (r.file for r in listed.toLocalIterator()))
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
@@ -101,9 +154,11 @@ def stream_bronze(
         query = _query_id(batch)
         writer = f"{query}-{batch_id}"
         batch = with_given_run_ids(batch, ingested_at)
+        # Kept for the batch, since its keys, rows, failures and runs all come from it.
+        whole = batch.persist()
         if redelivery:
-            batch = _not_landed(batch, keys_at, writer)
-        batch.persist()
+            batch = _not_landed(whole, keys_at, writer).drop("_bucket")
+            batch.persist()
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
             if quarantine is None:
@@ -124,10 +179,10 @@ def stream_bronze(
                     events = events.unionByName(rn.log_failed(failed, at_ms, F.col("error")))
                 commit_events(events, log_path, "bronze", query, batch_id)
             if redelivery:
-                keys = batch.select("_message", F.current_date().cast("string").alias("day"), F.lit(writer).alias(BATCH))
-                keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(keys_at)
+                _write_landed(_with_message_key(batch).select("_message", "_bucket"), keys_at, writer)
         finally:
             batch.unpersist()
+            whole.unpersist()
 
     return _start(messages, each, checkpoint, trigger)
 

@@ -6,6 +6,7 @@ from strata.plans.pipeline import read_run_log
 from strata.plans.spec import Schema
 from strata.sources.bronze import parse_lines, read_bronze
 from strata.sources.silver import read_silver
+from strata.streaming import streams as st
 from strata.streaming.streams import BATCH_BRONZE, bronze_stream, deduplicated, stream_bronze, stream_silver
 
 MESSAGE = "source string, entity string, run_id string, payload string, ts timestamp_ntz"
@@ -93,6 +94,34 @@ def test_messages_land_once_and_streams_keep_apart(spark, tmp_path):
     assert spark.read.parquet(f"{base}/q").count() == 1
 
 
+def test_a_small_batch_reads_only_its_buckets(spark, tmp_path):
+    """What a batch reads of the landed keys goes by its own keys: folders and filters for scans, Bloom filters in the files."""
+    landed = str(tmp_path / "landed")
+    def batch(first, last):
+        return st._with_message_key(spark.range(first, last).selectExpr("'s' AS source", "'e' AS entity", "concat('r', id) AS run_id", "concat('i', id) AS payload"))
+
+    for n in range(3):
+        st._write_landed(batch(1000 * n, 1000 * n + 1000).select("_message", "_bucket"), landed, f"q-{n}")
+    one = batch(5, 6)
+    known = st._known_keys(spark, landed, one, "q-9")
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    folders, pushed = plan.split("PartitionFilters: ")[1].split("PushedFilters: ")
+    assert "bucket" in folders and "_message" in pushed.split("ReadSchema")[0]
+    assert known.count() == 1 and st._known_keys(spark, landed, one, "q-0").count() == 0
+    many = st._known_keys(spark, landed, batch(0, 50), "q-9")
+    assert many.count() > 50 and "bucket" in many._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1]
+    file = next((tmp_path / "landed").rglob("*.parquet"))
+    metadata = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path(str(file)))
+    assert metadata.getBlocks().get(0).getColumns().get(0).getBloomFilterOffset() > 0
+    files = len(list((tmp_path / "landed").rglob("*.parquet")))
+    for _ in range(2):
+        st.compact_landed(spark, landed)
+        assert len(list((tmp_path / "landed").rglob("*.parquet"))) < files
+        assert spark.read.parquet(landed).select("_message").distinct().count() == 3000
+        assert sorted({r.batch_id for r in spark.read.parquet(landed).select("batch_id").collect() if r.batch_id.startswith("q-")}) == ["q-2"]
+        assert st._not_landed(batch(900, 3100).drop("_message", "_bucket"), landed, "q-9").count() == 100
+
+
 def test_quarantine_of_two_datasets(spark, tmp_path):
     from strata.sinks.layers import write_quarantine
 
