@@ -189,7 +189,9 @@ def find_phrases(index: Index, phrases: DataFrame, slack: int | None = None) ->
         inside = (doc >= 0) & (doc == np.searchsorted(begins, stop - 1, side="right") - 1)
         own, doc, first, stop = own[inside], doc[inside], first[inside], stop[inside]
         block = needed["block"].iloc[0] if len(needed) else ""
-        return pd.DataFrame({"phrase_id": [found[i][0] for i in own], "block": block, "ord": doc, "start": first - begins[doc], "stop": stop - begins[doc]})
+        # Plain objects: texts of pandas' own kind may come in several chunks, or in none, which Spark doesn't take.
+        names = {c: pd.Series(values, dtype=object) for c, values in (("phrase_id", [found[i][0] for i in own]), ("block", [block] * len(own)))}
+        return pd.DataFrame({**names, "ord": doc, "start": first - begins[doc], "stop": stop - begins[doc]})
 
     pairs = needed.groupBy("block").cogroup(lists.unionByName(begins).groupBy("block"))
     return pairs.applyInPandas(intersect, f"phrase_id {id_type}, block string, ord int, start bigint, stop bigint")
