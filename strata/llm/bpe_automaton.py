@@ -172,7 +172,7 @@ class Encoder:
     """Encodes whole texts: special tokens, normalisation and splitting as the tokenizer's file says, then the automaton, once for each word that
     is not remembered."""
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_bytes, saved
+from strata.llm.common import as_bytes, release_worker_memory, saved
 from strata.llm.components import components
 
 PIVOTS = 32
@@ -82,6 +82,7 @@ def build_nodes(docs: DataFrame, id_column: str, text: str, width: int) -> DataF
     layout = f"id {docs.schema[id_column].dataType.simpleString()}, text_key binary, node bigint, node_check bigint, n int, parts array<int>, shingle bigint, count int"
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_memory()
         import xxhash
 
         shingler, seen, repeated, recent, held = Shingler(width), set(), {}, [], 0
@@ -156,6 +157,7 @@ def build_postings(docs: DataFrame, text: str, nodes: DataFrame, width: int, sim
     n_buckets = 1 + total * (den - num) // den // 400_000
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_memory()
         shingler, seen, held, size = Shingler(width), set(), [], 0
         frequent, place = table.value
 
