@@ -23,7 +23,9 @@ from strata.plans.workspace import work_dir
 from strata.sinks.layers import ITEM_TEXT, remove_folders, write_bronze, write_quarantine, write_silver
 from strata.sources.bronze import (
     BRONZE_PARTITIONS,
+    PACKED_PARTITIONS,
     folder_of,
+    packed_lines,
     parse_lines,
     text_lines,
     with_ingestion_partitions,
@@ -81,6 +83,7 @@ def land_bronze(
     mapping_columns: Sequence[str] | None = None,
     at_ms: int | None = None,
     job_id: str | None = None,
+    packed: bool = False,
 ) -> None:
     """Write the payloads of runs that are not landed yet, and log each run.
 
@@ -88,6 +91,9 @@ def land_bronze(
     is a run of its own. A run whose payload is bad, or which has several that differ, is logged as failed and not written; the
     others are not held up by it. Runs landed before are logged as skipped. A job that is repeated under its ``job_id`` does nothing if it
     came to its end, or else all again, and its events replace those of the first time.
+
+    ``packed`` is for very many small runs: they share the files of a folder of their job, which the events of the runs name, and ``read_packed``
+    shows what the last event of each run names. Use it for a base always or never.
     """
     at_ms, job = at_ms or now_ms(), job_id or uuid.uuid4().hex
     if job_id and has_commit(spark, log_path, "bronze", job):
@@ -109,9 +115,21 @@ def land_bronze(
     rows = good.select(*[c for c in good.columns if c != "items"], F.posexplode("items").alias("pos", "row"))
     if mapping_columns is None:
         rows = rows.withColumns({ITEM_TEXT: F.col("row.text"), "row": F.col("row.row")})
-    write_bronze(rows, base)
+    extra = None
+    if packed:
+        # Named anew each time, so that what an attempt left behind never counts for the next one.
+        own = F.lit(uuid.uuid4().hex)
+        rows, extra = rows.withColumn(COMMIT, own), F.to_json(F.struct(own.alias(COMMIT)))
+    write_bronze(rows, base, extra_partitions=[COMMIT] if packed else (), packed=packed)
     done = todo.join(failed, list(RUN_KEY), "left_anti")
-    commit_events(rn.log_status(done, "BRONZE_WRITTEN", at_ms, params="params"), log_path, "bronze", job)
+    commit_events(rn.log_status(done, "BRONZE_WRITTEN", at_ms, extra, params="params"), log_path, "bronze", job)
+
+
+def read_packed(spark: SparkSession, base: str, log_path: str, path: str | None = None) -> DataFrame:
+    """Lines of packed bronze, each run as its last landing left it; of ``path`` below the base, if it is given."""
+    lines = packed_lines(spark, path or base, (*PACKED_PARTITIONS, COMMIT), base)
+    published = published_commits(read_run_log(spark, log_path), "BRONZE_WRITTEN")
+    return lines.join(published, [*RUN_KEY, COMMIT], "left_semi").drop(COMMIT)
 
 
 def _log_skipped(spark: SparkSession, runs: DataFrame, log: DataFrame, stage: str, log_path: str, at_ms: int, job: str) -> None:
@@ -178,6 +196,7 @@ def run_silver(
     dead_letter_base: str | None = None,
     job_id: str | None = None,
     committed: bool = False,
+    packed: bool = False,
 ) -> None:
     """Transform every landed run that is not in silver yet, and log each run.
 
@@ -189,6 +208,7 @@ def run_silver(
 
     With ``committed`` every job writes folders of its own, one level below the run, and the last successful event of a run names the ones
     that count: ``read_committed`` shows what that event published, whatever a later job wrote before it failed. Use it for a dataset always or never.
+    ``packed`` says that bronze was landed so.
     """
     if on_error not in ("fail", "fail_run", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -205,7 +225,10 @@ def run_silver(
         _log_skipped(spark, todo, log, "silver", log_path, at_ms, job)
         todo = rn.pending_runs(todo, log, "silver")
     own_bronze = folder_of(bronze_base, source=schema.source, entity=schema.entity)
-    lines = text_lines(spark, own_bronze, BRONZE_PARTITIONS, bronze_base)
+    if packed:
+        lines = read_packed(spark, bronze_base, log_path, own_bronze)
+    else:
+        lines = text_lines(spark, own_bronze, BRONZE_PARTITIONS, bronze_base)
     before = _files_of(spark, schema, todo, silver_base) if force and not committed else None
     rows = parse_lines(rn.rows_with_run_params(lines.drop("ingestion_dt", "ingestion_hr"), todo))
     carry = [*RUN_KEY, "params"]
@@ -243,10 +266,10 @@ def run_silver(
     commit_events(_silver_events(spark, schema, finished, silver_base, at_ms, job if committed else None), log_path, "silver", job)
 
 
-def published_commits(log: DataFrame) -> DataFrame:
-    """For each run the commit that its last successful event published; runs written without commits are not among them."""
+def published_commits(log: DataFrame, status: str = "SILVER_WRITTEN") -> DataFrame:
+    """For each run the commit that its last event of a status published; runs written without commits are not among them."""
     commit = F.get_json_object("extra", f"$.{COMMIT}")
-    events = log.where((F.col("status") == "SILVER_WRITTEN") & commit.isNotNull()).select(*RUN_KEY, "at_ms", commit.alias(COMMIT))
+    events = log.where((F.col("status") == status) & commit.isNotNull()).select(*RUN_KEY, "at_ms", commit.alias(COMMIT))
     return events.groupBy(*RUN_KEY).agg(F.max_by(COMMIT, F.struct("at_ms", COMMIT)).alias(COMMIT))
 
 
@@ -391,6 +414,7 @@ __all__ = [
     "land_bronze",
     "payload_rows",
     "read_committed",
+    "read_packed",
     "read_run_log",
     "read_run_state",
     "remove_unpublished",

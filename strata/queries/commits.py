@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import runs as rn
-from strata.plans.pipeline import land_bronze, read_committed, retry_silver, run_silver
+from strata.plans.pipeline import land_bronze, read_committed, read_packed, retry_silver, run_silver
 from strata.plans.runlog import commit_events, compact_run_log, read_run_log, read_run_state
 from strata.plans.workspace import work_dir
 from strata.queries.registry import query, table
@@ -126,8 +126,8 @@ def land_two_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, run_id = work_dir(spark, "two-payloads"), F.concat(F.lit("c-"), F.col("c_custkey"))
     differs = F.when(F.col("c_custkey") % 5 == 0, F.lit("new")).alias("note")
     both = _customer_payloads(spark, sf_dir, run_id).unionByName(_customer_payloads(spark, sf_dir, run_id, differs))
-    land_bronze(spark, both, f"{base}/bronze", f"{base}/log", "at", at_ms=1)
-    lines = text_lines(spark, f"{base}/bronze", BRONZE_PARTITIONS).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    land_bronze(spark, both, f"{base}/bronze", f"{base}/log", "at", at_ms=1, packed=True)
+    lines = read_packed(spark, f"{base}/bronze", f"{base}/log").groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
     state = read_run_state(spark, f"{base}/log").join(lines, "run_id", "left")
     return state.select("run_id", "status", F.get_json_object("extra", "$.error").alias("error"), F.coalesce("n", F.lit(0)).alias("n_lines"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans.spec import Schema, SpecError
-from strata.sources.bronze import BRONZE_PARTITIONS
+from strata.sources.bronze import BRONZE_PARTITIONS, PACKED_PARTITIONS
 
 # A column with the JSON text of a payload item as it was delivered.
 ITEM_TEXT = "_item_text"
@@ -84,23 +84,26 @@ def write_bronze(
     extra_partitions: Sequence[str] = (),
     salts: int | None = None,
     max_records: int = MAX_RECORDS_PER_FILE,
+    packed: bool = False,
 ) -> None:
     """Write JSON lines under source, entity, ingestion day and hour, and run.
 
     Payload items already lie together in payload order, so nothing is shuffled by default; set
-    ``cluster`` for rows whose runs are spread over many tasks.
+    ``cluster`` for rows whose runs are spread over many tasks. ``packed`` is for very many small runs: the run is a column
+    beside the line, in Parquet, so that files go by the size of the data and not by the number of runs. What such a write may replace is
+    for its caller to say, by a folder of its own in ``extra_partitions``.
     """
-    partitions = [*BRONZE_PARTITIONS, *extra_partitions]
-    missing = [p for p in partitions if p not in df.columns]
+    partitions = [*(PACKED_PARTITIONS if packed else BRONZE_PARTITIONS), *extra_partitions]
+    missing = [p for p in (*partitions, "run_id") if p not in df.columns]
     if missing:
         raise ValueError(f"bronze rows lack {missing}")
-    carry = [*partitions, "pos", "params"]
+    carry = [*partitions, "run_id", "pos", "params"]
     line = to_json_line(df, "row", carry)
     if ITEM_TEXT in df.columns:
         # Objects are written as they came.
         line = F.when(F.col(ITEM_TEXT).startswith("{") & (F.schema_of_variant("row") != "STRING"), F.col(ITEM_TEXT)).otherwise(line)
-    lines = df.select(line.alias("value"), *partitions)
-    _write(_cluster(lines, partitions, salts) if cluster else lines, base, "text", partitions, max_records)
+    lines = df.select(line.alias("value"), *(["run_id"] if packed else []), *partitions)
+    _write(_cluster(lines, partitions, salts) if cluster else lines, base, "parquet" if packed else "text", partitions, max_records)
 
 
 def silver_partitions(schema: Schema) -> list[str]:
@@ -164,10 +167,14 @@ def write_silver(
 QUARANTINE_PARTITIONS = ("source", "entity", "layer", "run_id", "attempt", "batch_id")
 
 
-def write_quarantine(rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1, layer: str = "silver") -> None:
+def write_quarantine(
+    rejected: DataFrame, base: str, batch_id: str | int, attempt: int = 1, layer: str = "silver", packed: bool = False
+) -> None:
     """Write rejected rows with their reasons, one folder per run, layer, attempt and batch, so that no writer
-    replaces the rows of another and a run can be taken out by itself. ``batch_id`` must name the writer, too; a counted ``attempt`` column is kept."""
+    replaces the rows of another and a run can be taken out by itself. ``batch_id`` must name the writer, too; a counted ``attempt`` column is kept. ``packed``: the run is a column, not
+    a folder."""
     added = {"layer": F.lit(layer), "batch_id": F.lit(str(batch_id))}
     if "attempt" not in rejected.columns:
         added["attempt"] = F.lit(attempt)
-    _write(rejected.withColumns(added), base, "parquet", QUARANTINE_PARTITIONS, MAX_RECORDS_PER_FILE)
+    folders = [p for p in QUARANTINE_PARTITIONS if not (packed and p == "run_id")]
+    _write(rejected.withColumns(added), base, "parquet", folders, MAX_RECORDS_PER_FILE)

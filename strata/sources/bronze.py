@@ -15,6 +15,8 @@ from strata.functions import times as tm
 from strata.functions.frames import once
 
 BRONZE_PARTITIONS = ("source", "entity", "ingestion_dt", "ingestion_hr", "run_id")
+# Folders of packed bronze, where the run is a column beside the line.
+PACKED_PARTITIONS = BRONZE_PARTITIONS[:-1]
 _END = "end of text"
 _JSON_SPACE = " \t\r\n"
 
@@ -81,6 +83,17 @@ def text_lines(
         return spark.createDataFrame([], ddl)
 
 
+def packed_lines(spark: SparkSession, path: str, partitions: tuple[str, ...] = PACKED_PARTITIONS, base: str | None = None) -> DataFrame:
+    """What ``text_lines`` gives, from packed bronze; ``path`` may be a folder below ``base``."""
+    ddl = ", ".join(["value string", "run_id string", *(f"`{p}` string" for p in partitions)])
+    try:
+        return spark.read.schema(ddl).option("basePath", base or path).parquet(path)
+    except AnalysisException as error:
+        if base is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Skip blank lines and parse the others; ``row`` is null where a line is not a JSON object."""
     kept = lines.where(~tx.is_blank(F.col(column)))

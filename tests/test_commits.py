@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from strata.operators import runs as rn
 from strata.plans import pipeline as pl
 from strata.plans import runlog as rl
+from strata.queries import commits
 from strata.queries.commits import forget_last_batch
 from strata.sources.bronze import read_bronze
+from strata.sources.silver import read_silver
 from strata.streaming.streams import BATCH_BRONZE, bronze_stream, stream_bronze, stream_silver
 from test_pipeline import BAD, SPEC, Flow, payloads
 from test_streaming import SPEC as STREAM_SPEC
@@ -209,3 +211,50 @@ def test_redelivery_is_safe_by_default_and_replays_count_once(spark, tmp_path):
     assert sorted(r.i for r in values.collect()) == [1, 2, 7]
     rows = [r.n for r in rl.read_run_log(spark, f"{base}/log").where("status = 'SILVER_WRITTEN'").select(F.get_json_object("extra", "$.rows").cast("int").alias("n")).collect()]
     assert sum(rows) == 3
+
+
+@pytest.mark.parametrize("name", ["land_two_payloads", "land_missing_ids", "stream_bad_payloads"])
+def test_files_do_not_go_by_the_number_of_runs(spark, sf_dir, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(commits, "work_dir", lambda *_: str(tmp_path))
+    assert getattr(commits, name)(spark, sf_dir).count() > 0
+    written = [p for layer in ("bronze", "quarantine") for p in (tmp_path / layer).rglob("part-*")]
+    # Streamed days have folders of their own, here 30 of bronze.
+    assert 0 < len({p.parent for p in written}) <= 31
+
+
+def test_packed_bronze(spark, tmp_path):
+    flow = Flow(spark, tmp_path)
+    base, odd = f"{tmp_path}/bronze", "r/=é"
+    first = payloads(spark, a='[{"i":1,"v":"2.5"},{"i":2,"v":3.0}]', b="[]", bad="oops", **{odd: '{"i":4,"v":4}'})
+    flow.land(first, at_ms=1, packed=True)
+    want = [("a", '{"i":1,"v":"2.5"}'), ("a", '{"i":2,"v":3.0}'), (odd, '{"i":4,"v":4}')]
+
+    def lines():
+        return sorted((r.run_id, r.value) for r in pl.read_packed(spark, base, flow.log).collect())
+
+    assert lines() == want
+    # What a job left that ended before it was logged does not count, and runs landed before are not landed again.
+    more = first.unionByName(payloads(spark, c='{"i":5,"v":5}'))
+    pl.land_bronze(spark, more, base, f"{tmp_path}/lost", "at", at_ms=2, packed=True)
+    assert lines() == want
+    for at_ms in (3, 4):
+        flow.land(more, at_ms=at_ms, packed=True)
+        assert lines() == [*want[:2], ("c", '{"i":5,"v":5}'), want[2]]
+    flow.silver(more, at_ms=5, packed=True)
+    assert [r[:3] for r in flow.rows()] == [("a", 1, 2.5), ("a", 2, 3.0), ("c", 5, 5.0), (odd, 4, 4.0)]
+    assert flow.states()["b"] == ("SILVER_WRITTEN", '{"rows":0,"empty":true}') and flow.states()["bad"][0] == "FAILED"
+
+
+def test_packed_streams(spark, tmp_path):
+    base = str(tmp_path)
+    send(spark, f"{base}/in", ("a", '{"i":1}'), ("a", "oops"), ("b", '{"i":2}'))
+    for _ in range(2):
+        stream_bronze(
+            stream(spark, f"{base}/in"), f"{base}/bronze", f"{base}/c1", "ts", log_path=f"{base}/log", quarantine=f"{base}/q", packed=True
+        ).awaitTermination()
+        forget_last_batch(spark, f"{base}/c1")
+    stream_silver(bronze_stream(spark, f"{base}/bronze", packed=True), STREAM_SPEC, f"{base}/silver", f"{base}/c2").awaitTermination()
+    got = read_silver(spark, f"{base}/silver", STREAM_SPEC, extra_partitions=["batch_id"])
+    assert sorted((r.run_id, r.id) for r in got.collect()) == [("a", 1), ("b", 2)]
+    assert [(r.run_id, r.input) for r in spark.read.parquet(f"{base}/q").collect()] == [("a", "oops")]
+    assert {r.run_id: r.status for r in rl.read_run_state(spark, f"{base}/log").collect()} == {"a": "FAILED", "b": "BRONZE_WRITTEN"}
