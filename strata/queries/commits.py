@@ -16,7 +16,6 @@ from strata.queries.runs import _EVENT_LOG, event_log
 from strata.queries.silver import _orders_pipeline
 from strata.queries.stream import _COLUMNS, _messages, _SPEC, schema_of
 from strata.sinks.layers import remove_folders
-from strata.sources.bronze import BRONZE_PARTITIONS, text_lines
 from strata.sources.silver import read_silver
 from strata.streaming.streams import bronze_stream, stream_bronze, stream_silver
 
@@ -105,8 +104,8 @@ def land_missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_id = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("c-"), F.col("c_custkey")))
     payloads = _customer_payloads(spark, sf_dir, run_id)
     for at_ms in (1, 2):
-        land_bronze(spark, payloads, f"{base}/bronze", f"{base}/log", "at", at_ms=at_ms)
-    lines = text_lines(spark, f"{base}/bronze", BRONZE_PARTITIONS)
+        land_bronze(spark, payloads, f"{base}/bronze", f"{base}/log", "at", at_ms=at_ms, packed=True)
+    lines = read_packed(spark, f"{base}/bronze", f"{base}/log")
     keyed = lines.select("run_id", F.get_json_object("value", "$.key").cast("bigint").alias("key"))
     log = read_run_log(spark, f"{base}/log").where(F.get_json_object("extra", "$.skipped").isNull())
     counted = log.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_events"))
