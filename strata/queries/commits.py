@@ -146,7 +146,9 @@ def _bad_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed payloads that are not JSON are kept, and their runs end as failed. Without a quarantine the stream stops and lands nothing."""
     base = work_dir(spark, "bad-payloads")
-    strict = stream_bronze(_bad_run(spark, sf_dir), f"{base}/strict", f"{base}/checkpoint-strict", "day", cluster=True, log_path=f"{base}/log-strict")
+    strict = stream_bronze(
+        _bad_run(spark, sf_dir), f"{base}/strict", f"{base}/checkpoint-strict", "day", cluster=True, log_path=f"{base}/log-strict", packed=True,
+    )
     try:
         strict.awaitTermination()
     except Exception as error:
@@ -156,6 +158,7 @@ def stream_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError("bad payloads were passed over")
     stream_bronze(
         _bad_run(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint", "day", cluster=True, log_path=f"{base}/log", quarantine=f"{base}/quarantine",
+        packed=True,
     ).awaitTermination()
     kept = spark.read.parquet(f"{base}/quarantine").groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
     return read_run_state(spark, f"{base}/log").join(kept, "run_id", "left").select("run_id", "status", F.coalesce("n", F.lit(0)).alias("n_bad"))

@@ -138,6 +138,7 @@ def stream_bronze(
     landed: str | None = None,
     redelivery: bool = True,
     salts: int = SALTS,
+    packed: bool = False,
 ) -> StreamingQuery:
     """Land a stream of messages with source, entity, run_id, payload and a timestamp.
 
@@ -146,7 +147,7 @@ def stream_bronze(
     A message without a run id is a run of its own.
 
     A bad payload fails the batch, so that nothing of it is landed or logged; with a ``quarantine`` it is kept there instead, and its run is
-    logged as failed.
+    logged as failed. ``packed`` is for very many small runs: bronze and quarantine hold the run as a column, and a folder per batch.
     """
     keys_at = landed or base.rstrip("/") + "_landed"
 
@@ -165,11 +166,11 @@ def stream_bronze(
                 named = F.concat_ws(": ", F.lit("bad payload"), "source", "entity", "run_id", "error")
                 rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(named).cast("string")))
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
-            write_bronze(good.drop("_message").withColumn(BATCH, F.lit(writer)), base, cluster, [BATCH], salts)
+            write_bronze(good.drop("_message").withColumn(BATCH, F.lit(writer)), base, cluster, [BATCH], salts, packed=packed)
             bad = rows.where(F.col("error").isNotNull())
             if quarantine is not None:
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
-                write_quarantine(kept, quarantine, writer, layer="bronze")
+                write_quarantine(kept, quarantine, writer, layer="bronze", packed=packed)
             if log_path is not None:
                 failed = bad.groupBy(*rn.RUN_KEY).agg(F.min("error").alias("error")) if quarantine is not None else None
                 runs, at_ms = batch.select(*rn.RUN_KEY).distinct(), now_ms()
@@ -188,11 +189,12 @@ def stream_bronze(
 
 
 def bronze_stream(
-    spark: SparkSession, base: str, partitions: Sequence[str] = BATCH_BRONZE, max_files: int = 1000
+    spark: SparkSession, base: str, partitions: Sequence[str] = BATCH_BRONZE, max_files: int = 1000, packed: bool = False
 ) -> DataFrame:
-    """New bronze lines as a stream of ``value`` and folder columns."""
+    """New bronze lines as a stream of ``value`` and folder columns; ``packed`` as they were landed."""
     ddl = ", ".join(["value string", *(f"`{p}` string" for p in partitions)])
-    return spark.readStream.schema(ddl).option("maxFilesPerTrigger", max_files).text(base)
+    reader = spark.readStream.schema(ddl).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(base) if packed else reader.text(base)
 
 
 def stream_silver(
