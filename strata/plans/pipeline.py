@@ -180,6 +180,14 @@ def _log_failures(failed: DataFrame, log_path: str, at_ms: int, stage: str, job:
     return kept.select(*RUN_KEY)
 
 
+def _written(runs: DataFrame, name: str) -> DataFrame:
+    """A table of runs, written down: its size is known then, and one that is small enough is sent to the rows, which stay in the tasks that
+    read them. Brought together by run, the rows of few runs would end in as few tasks."""
+    folder = work_dir(runs.sparkSession, name)
+    runs.write.parquet(folder)
+    return runs.sparkSession.read.schema(runs.schema).parquet(folder)
+
+
 def run_silver(
     spark: SparkSession,
     schema: Schema,
@@ -224,6 +232,7 @@ def run_silver(
     if not force:
         _log_skipped(spark, todo, log, "silver", log_path, at_ms, job)
         todo = rn.pending_runs(todo, log, "silver")
+    todo = _written(todo, "runs")
     own_bronze = folder_of(bronze_base, source=schema.source, entity=schema.entity)
     if packed:
         lines = read_packed(spark, bronze_base, log_path, own_bronze)
@@ -339,7 +348,7 @@ def retry_silver(
             raise
         return
     landed = read_run_log(spark, log_path).where(F.col("status").isin(*rn.DONE["bronze"])).select(*RUN_KEY)
-    again = requests.join(landed, list(RUN_KEY), "left_semi")
+    again = _written(requests.join(landed, list(RUN_KEY), "left_semi"), "again")
     # Only folders of runs that are done again, written down before new ones come; those of other runs stay.
     folder = work_dir(spark, "tried")
     asked = kept.join(again.select(*RUN_KEY), list(RUN_KEY), "left_semi")

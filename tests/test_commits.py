@@ -258,3 +258,27 @@ def test_packed_streams(spark, tmp_path):
     assert sorted((r.run_id, r.id) for r in got.collect()) == [("a", 1), ("b", 2)]
     assert [(r.run_id, r.input) for r in spark.read.parquet(f"{base}/q").collect()] == [("a", "oops")]
     assert {r.run_id: r.status for r in rl.read_run_state(spark, f"{base}/log").collect()} == {"a": "FAILED", "b": "BRONZE_WRITTEN"}
+
+
+def test_rows_of_few_runs_stay_in_their_tasks(spark, tmp_path, monkeypatch):
+    """Requests that come out of a large table are few, and the lines are not brought together by run for them."""
+    flow, plans = Flow(spark, tmp_path), []
+    df = payloads(spark, a='[{"i":1,"v":1},{"i":2,"v":2}]', b='{"i":3,"v":3}')
+    flow.land(df, at_ms=1)
+    run = F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("run_id")
+    params = F.create_map(F.lit("date"), F.lit("2024-01-05")).alias("params")
+    asked = spark.range(100_000).select(run).distinct().select(F.lit("s").alias("source"), F.lit("e").alias("entity"), "run_id", params)
+    check = pl.check_rows
+
+    def checked(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return check(rows, *args, **options)
+
+    monkeypatch.setattr(pl, "check_rows", checked)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)
+    try:
+        flow.silver(asked, at_ms=2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert [r[:2] for r in flow.rows()] == [("a", 1), ("a", 2), ("b", 3)]
