@@ -160,6 +160,7 @@ def stream_bronze(
         if redelivery:
             batch = _not_landed(whole, keys_at, writer).drop("_bucket")
             batch.persist()
+        bad = None
         try:
             rows = with_ingestion_partitions(payload_rows(batch, mapping_columns), ingested_at)
             if quarantine is None:
@@ -167,8 +168,9 @@ def stream_bronze(
                 rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(named).cast("string")))
             good = rows.where(F.col("error").isNull()).drop("error", "payload")
             write_bronze(good.drop("_message").withColumn(BATCH, F.lit(writer)), base, cluster, [BATCH], salts, packed=packed)
-            bad = rows.where(F.col("error").isNotNull())
             if quarantine is not None:
+                # Kept as well: payloads are parsed once for the good rows and once for the bad ones, not for each use of these.
+                bad = rows.where(F.col("error").isNotNull()).select(*rn.RUN_KEY, "pos", "payload", "error").persist()
                 kept = bad.select(*rn.RUN_KEY, "pos", F.col("payload").alias("input"), F.array("error").alias("reasons"))
                 write_quarantine(kept, quarantine, writer, layer="bronze", packed=packed)
             if log_path is not None:
@@ -182,6 +184,8 @@ def stream_bronze(
             if redelivery:
                 _write_landed(_with_message_key(batch).select("_message", "_bucket"), keys_at, writer)
         finally:
+            if bad is not None:
+                bad.unpersist()
             batch.unpersist()
             whole.unpersist()
 

@@ -282,3 +282,21 @@ def test_rows_of_few_runs_stay_in_their_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
     assert [r[:2] for r in flow.rows()] == [("a", 1), ("a", 2), ("b", 3)]
+
+
+def test_streamed_payloads_are_parsed_twice_at_most(spark, tmp_path, monkeypatch):
+    from strata.streaming import streams
+
+    base, parsed, rows = str(tmp_path), spark.sparkContext.accumulator(0), streams.payload_rows
+
+    def seen(error):
+        parsed.add(1)
+        return error
+
+    counted = F.udf(seen, "string").asNondeterministic()
+    monkeypatch.setattr(streams, "payload_rows", lambda *a: rows(*a).withColumn("error", counted("error")))
+    send(spark, f"{base}/in", ("a", '{"i":1}'), ("a", "oops"), ("b", '{"i":2}'), ("c", "oops too"))
+    stream_bronze(stream(spark, f"{base}/in"), f"{base}/bronze", f"{base}/c1", "ts", log_path=f"{base}/log", quarantine=f"{base}/q").awaitTermination()
+    assert parsed.value == 2 * 4
+    assert {r.run_id: r.status for r in rl.read_run_state(spark, f"{base}/log").collect()} == {"a": "FAILED", "b": "BRONZE_WRITTEN", "c": "FAILED"}
+    assert sorted(r.input for r in spark.read.parquet(f"{base}/q").collect()) == ["oops", "oops too"]
