@@ -39,6 +39,9 @@ def storage_type(logical: str, logical_types: bool = False) -> T.DataType:
         return T.DateType() if logical_types else T.StringType()
     raise ValueError(f"unsupported type: {logical}")
 
+# Codes of the characters a JSON number begins with.
+_NUMBER_STARTS = tuple(map(ord, "-0123456789"))
+
 
 def _as_logical(value: Column, logical: str) -> Column:
     if logical == "timestamp_ms":
@@ -141,14 +144,17 @@ def _json_to_int(value: Json) -> Column:
 
 
 def _json_to_float(value: Json) -> Column:
-    # A text of nothing but digits and signs is converted as text: numbers and number texts alike.
+    # The JSON text of a number begins with a digit or a sign, that of a text with a quote.
+    as_json = F.to_json(value.variant)
+    number = F.when(F.ascii(as_json).isin(*_NUMBER_STARTS), as_json.try_cast("double"))
+    # A text of nothing but digits and signs is converted as it is.
     plain = value.get("string")
     direct = F.when(~plain.rlike("[^0-9.+eE-]"), plain.try_cast("double"))
     by_kind = tx.let(
         value.get("string"),
         lambda text: F.when(value.is_text, _text_to_float(text)).otherwise(value.get("double")),
     )
-    return F.coalesce(direct, by_kind)
+    return F.coalesce(number, direct, by_kind)
 
 
 def _json_to_bool(value: Json) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
@@ -114,9 +114,17 @@ class Checked:
         """Bad rows: carried columns, the input row as JSON text, and every reason."""
         keep = [F.col(f"`{c}`") for c in self.carry]
         bad = self.settled().df.where(self.bad())
-        # The line itself where it could not be parsed.
-        text = F.coalesce(F.to_json("_row"), F.col("_line")).alias("input")
-        return bad.select(*keep, text, self.reasons().alias("reasons"))
+        return bad.select(*keep, self._input().alias("input"), self.reasons().alias("reasons"))
+
+    def _input(self) -> Column:
+        """What a row was made from; the line itself where it could not be parsed."""
+        return F.coalesce(F.to_json("_row"), F.col("_line")) if "_row" in self.df.columns else F.col("_line")
+
+    def kept(self, save: Callable[[DataFrame], DataFrame]) -> Checked:
+        """The same rows as ``save`` gives them back, so that they are parsed and converted once, however often they are used. Of the
+        input only that of bad rows is saved."""
+        rest = [F.col(f"`{c}`") for c in self.df.columns if c not in _INPUT]
+        return replace(self, df=save(self.df.select(F.when(self.bad(), self._input()).alias("_line"), *rest)), costly=False)
 
 
 def _path(key: str) -> str:

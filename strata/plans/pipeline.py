@@ -183,9 +183,12 @@ def _log_failures(failed: DataFrame, log_path: str, at_ms: int, stage: str, job:
 def _written(runs: DataFrame, name: str) -> DataFrame:
     """A table of runs, written down: its size is known then, and one that is small enough is sent to the rows, which stay in the tasks that
     read them. Brought together by run, the rows of few runs would end in as few tasks."""
-    folder = work_dir(runs.sparkSession, name)
-    runs.write.parquet(folder)
-    return runs.sparkSession.read.schema(runs.schema).parquet(folder)
+    return _kept(runs, work_dir(runs.sparkSession, name))
+
+
+def _kept(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def run_silver(
@@ -209,7 +212,7 @@ def run_silver(
     """Transform every landed run that is not in silver yet, and log each run.
 
     A bad row fails the job (``fail``), fails its run and no other (``fail_run``), or is set aside
-    (``quarantine``). Bronze is read once, and a second time for ``fail_run`` and ``quarantine``. ``force`` redoes
+    (``quarantine``). Bronze is read once; for ``fail_run`` and ``quarantine`` the checked rows are kept in a work folder meanwhile. ``force`` redoes
     finished runs, and removes the folders that a run had and has no more; a run that fails keeps what it had. Only folders of this dataset are listed.
     Runs in silver already are logged as skipped. ``tried`` says how often the rows of a run were tried before; ``retry_silver`` gives it. A job that is
     repeated under its ``job_id`` does nothing if it came to its end, or else all again, and its events replace those of the first time.
@@ -242,7 +245,10 @@ def run_silver(
     rows = parse_lines(rn.rows_with_run_params(lines.drop("ingestion_dt", "ingestion_hr"), todo))
     carry = [*RUN_KEY, "params"]
     checked = check_rows(rows, schema, params_col="params", carry=carry, logical_types=logical_types)
+    aside = work_dir(spark, "checked")
     try:
+        if on_error != "fail":
+            checked = checked.kept(lambda rows: _kept(rows, aside))
         if on_error == "fail":
             good = checked.enforced()
         elif on_error == "fail_run":
@@ -266,6 +272,8 @@ def run_silver(
     except Exception as error:
         commit_events(rn.log_failed(todo, at_ms, F.lit(str(error))), log_path, "silver-failed", job)
         raise
+    finally:
+        remove_folders(spark, [aside])
     finished = todo
     if on_error == "fail_run":
         finished = todo.join(failed, list(RUN_KEY), "left_anti")

@@ -45,14 +45,16 @@ def _ends_with_value(text: Column) -> Column:
     A text whose first closing brace is its last character needs no second look. Any other is
     counted as a list with one more item behind it.
     """
-    first_brace_is_last = F.locate("}", text) == F.length(F.rtrim(text, F.lit(_JSON_SPACE)))
+    first_brace = F.locate("}", text)
+    # Most lines end with the brace, and need no look at the space behind it either.
+    first_brace_is_last = (first_brace == F.length(text)) | (first_brace == F.length(F.rtrim(text, F.lit(_JSON_SPACE))))
     return first_brace_is_last | (F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2)
 
 
 def with_json_object(df: DataFrame, text: str, name: str = "row") -> DataFrame:
     """Parse a text column: one JSON object as a VARIANT, or null for anything else."""
     value = F.col(text)
-    is_object = F.ltrim(value, F.lit(_JSON_SPACE)).startswith("{")
+    is_object = value.startswith("{") | F.ltrim(value, F.lit(_JSON_SPACE)).startswith("{")
     strict = once(df, name, F.when(is_object & _ends_with_value(value), F.try_parse_json(value)))
     return strict.withColumn(name, F.coalesce(name, F.when(is_object, _lenient_object(value))))
 
@@ -96,7 +98,7 @@ def packed_lines(spark: SparkSession, path: str, partitions: tuple[str, ...] = P
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Skip blank lines and parse the others; ``row`` is null where a line is not a JSON object."""
-    kept = lines.where(~tx.is_blank(F.col(column)))
+    kept = lines.where(F.col(column).startswith("{") | ~tx.is_blank(F.col(column)))
     return with_json_object(kept, column)
 
 

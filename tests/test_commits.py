@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from strata.operators import runs as rn
 from strata.plans import pipeline as pl
 from strata.plans import runlog as rl
+from strata.plans.workspace import work_dir
 from strata.queries import commits
 from strata.queries.commits import forget_last_batch
 from strata.sources.bronze import read_bronze
@@ -300,3 +303,27 @@ def test_streamed_payloads_are_parsed_twice_at_most(spark, tmp_path, monkeypatch
     assert parsed.value == 2 * 4
     assert {r.run_id: r.status for r in rl.read_run_state(spark, f"{base}/log").collect()} == {"a": "FAILED", "b": "BRONZE_WRITTEN", "c": "FAILED"}
     assert sorted(r.input for r in spark.read.parquet(f"{base}/q").collect()) == ["oops", "oops too"]
+
+
+@pytest.mark.parametrize("on_error", ["fail_run", "quarantine"])
+def test_lines_are_parsed_once(spark, tmp_path, monkeypatch, on_error):
+    flow, parsed, parse = Flow(spark, tmp_path), spark.sparkContext.accumulator(0), pl.parse_lines
+    df = payloads(spark, a='[{"i":1,"v":1},{"i":2,"v":"2.5"}]', b='[{"i":3,"v":true},{"i":4,"v":"x"}]')
+    flow.land(df, at_ms=1)
+
+    def seen(value):
+        parsed.add(1)
+        return value
+
+    counted = F.udf(seen, "string").asNondeterministic()
+    monkeypatch.setattr(pl, "parse_lines", lambda lines: parse(lines.withColumn("value", counted("value"))))
+    options = {"quarantine_base": f"{tmp_path}/q"} if on_error == "quarantine" else {}
+    flow.silver(df, at_ms=2, on_error=on_error, **options)
+    assert parsed.value == 4
+    assert [r[:3] for r in flow.rows()] == [("a", 1, 1.0), ("a", 2, 2.5), *([("b", 3, 1.0)] if on_error == "quarantine" else [])]
+    if on_error == "quarantine":
+        kept = [(r.run_id, r.input, r.reasons) for r in spark.read.parquet(f"{tmp_path}/q").collect()]
+        assert kept == [("b", '{"i":4,"v":"x"}', ["cast:v"])]
+    else:
+        assert flow.states()["b"][0] == "FAILED"
+    assert not list(Path(work_dir(spark, "none").removeprefix("file://")).parent.glob("checked-*"))
