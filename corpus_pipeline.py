@@ -12,12 +12,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.llm.bpe_automaton import encoded
-from strata.llm.common import free_name, saved, table
+from strata.llm.common import folders_made, free_name, kept, saved, table
 from strata.llm.decontamination import contamination
 from strata.llm.jaccard_join import linked_documents
 from strata.llm.queries import tokenizer_path
 from strata.llm.secret_scan import without_secrets
 from strata.llm.toxicity import score_texts, train
+from strata.sinks.layers import remove_folders
 
 
 def _text_key() -> Column:
@@ -74,5 +75,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with folders_made() as made:
+            docs, own = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # What a stage wrote on its way is of no use to the next ones.
+        remove_folders(spark, (path for path in made if path != own))
     return docs

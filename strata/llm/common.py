@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 import pyarrow as pa
@@ -28,10 +30,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def kept(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """The same, and the folder it was written to, for those who remove it once nothing reads it any more."""
     path = work_dir(df.sparkSession, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def folders_made() -> Iterator[list[str]]:
+    """The folders that `saved` and `kept` write meanwhile, for those who know when nothing reads them any more."""
+    token = _MADE.set(made := [])
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name like this one that the frame doesn't have."""
     taken = {c.lower() for c in df.columns}

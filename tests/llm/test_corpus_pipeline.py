@@ -5,13 +5,16 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline as cp
 import llm_data as data
 import pytest
 from oracle import compare, connect
+from strata.llm.common import saved
 from strata.llm.queries import ORACLES, QUERIES, tokenizer_path
 from strata.llm.toxicity import Model, train
+from strata.plans.workspace import work_dir
 
 ITEMS = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, None), (3, ""), (3, "two THREE"), (None, "!!")]
 KNOWN = 200
@@ -118,6 +121,23 @@ def test_pipeline_without_rows(spark, tmp_path):
     assert cp.run(spark, folder).count() == 0
 
 
+def test_only_results_of_stages_stay(spark, tmp_path, monkeypatch):
+    """What a stage wrote on its way is gone once its result is there; results, and what others wrote, stay."""
+    folder = f"file://{tmp_path}"
+    written(spark, folder, [(1, "one", "en", "s", 3), (2, "two", "en", "s", 3)], [])
+    other = saved(spark.range(1), "other")
+
+    def stage(spark, docs, sf_dir):
+        return docs.join(saved(docs.where("doc_id > 1").select("doc_id"), "step"), "doc_id")
+
+    monkeypatch.setattr(cp, "STAGES", [("first", stage), ("second", stage)])
+    shared = Path(work_dir(spark, "none").removeprefix("file://")).parent
+    before = {p.name for p in shared.iterdir()}
+    assert [r.doc_id for r in cp.run(spark, folder).collect()] == [2]
+    made = sorted(p.name.rsplit("-", 1)[0] for p in shared.iterdir() if p.name not in before)
+    assert made == ["pipeline-first", "pipeline-second"] and other.count() == 1
+
+
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
