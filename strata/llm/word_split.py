@@ -66,7 +66,9 @@ class Splitter:
         strings = [t or "" for t in texts.to_pylist()]
         usual = [USUAL.fullmatch(t) is not None and "<|" not in t for t in strings]
         plain = pa.array([t if u else "" for t, u in zip(strings, usual)], pa.string())
-        cut = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(plain), SPLIT_OFF, r" \1 "))
+        spaced = pc.replace_substring_regex(pc.utf8_lower(plain), SPLIT_OFF, r" \1 ")
+        # After white space Arrow's splitter looks at the next byte, which for the last text is behind the column, and gives up where that is odd.
+        cut = pc.utf8_split_whitespace(pc.utf8_rtrim_whitespace(spaced))
         coded = cut.values.dictionary_encode()
         words, which, bounds = coded.dictionary.to_pylist(), coded.indices.to_numpy(), cut.offsets.to_pylist()
         if not all(usual):

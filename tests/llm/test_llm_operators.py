@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import textwrap
 from collections import Counter
 
 import llm_data as data
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from strata.llm import decontamination as dc
@@ -24,6 +28,7 @@ from strata.llm.repetition import repetition
 from strata.llm.token_counts import Counter as TokenCounter
 from strata.llm.token_counts import load, token_counts
 from strata.llm.toxicity import IDENTITY_GROUPS, fit, held_out, score_texts, swapped_features, swaps, train
+from strata.llm.word_split import Splitter
 
 
 @pytest.fixture(scope="module")
@@ -489,3 +494,20 @@ def test_automaton_of_doubles():
 
     words = ["a" * n for n in range(1, 20)] + ["a" * n + "b" for n in range(1, 20)] + ["abab", "baab"]
     assert automaton.encode(words) == [by_merges(w) for w in words]
+
+
+@pytest.mark.parametrize("behind", [b"\x00", b"\x80", b"\xff", b"a"])
+def test_split_looks_at_no_byte_behind_the_column(monkeypatch, behind):
+    """Whatever lies behind a column of texts in memory, the last text is split as the others are."""
+    real = pc.utf8_split_whitespace
+
+    def split(column):
+        texts = [text.encode() for text in column.to_pylist()]
+        offsets = pa.py_buffer(np.cumsum([0, *map(len, texts)], dtype=np.int32))
+        data = pa.py_buffer(b"".join(texts) + behind * 8).slice(0, sum(map(len, texts)))
+        return real(pa.StringArray.from_buffers(len(texts), offsets, data))
+
+    monkeypatch.setattr(pc, "utf8_split_whitespace", split)
+    words, which, bounds = Splitter(tokenizer_path("word_bpe_49k.json")).split(pa.array(["The end.", None, "An end."]))
+    rows = [[words[i] for i in which[low:high] if words[i]] for low, high in itertools.pairwise(bounds)]
+    assert rows == [["the", "end", "."], [], ["an", "end", "."]]
