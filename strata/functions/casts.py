@@ -154,7 +154,8 @@ def _json_to_float(value: Json) -> Column:
         value.get("string"),
         lambda text: F.when(value.is_text, _text_to_float(text)).otherwise(value.get("double")),
     )
-    return F.coalesce(number, direct, by_kind)
+    # A null has no text, and no kind to look at.
+    return F.coalesce(number, direct, F.when(plain.isNotNull(), by_kind))
 
 
 def _json_to_bool(value: Json) -> Column:

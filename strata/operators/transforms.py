@@ -46,11 +46,11 @@ _FOUND, _ABSENT, _NULL, _LOST = 0, 1, 2, 3
 
 
 def _lookup(value: Column, source: ct.Json) -> Column:
-    """A value that was converted needs no second look at the row."""
+    """A value that was converted needs no second look at the row, and most others are JSON nulls, which one look tells."""
     return (
         F.when(value.isNotNull(), F.lit(_FOUND))
+        .when(F.is_variant_null(source.variant), F.lit(_NULL))
         .when(~source.present, F.lit(_ABSENT))
-        .when(source.missing, F.lit(_NULL))
         .otherwise(F.lit(_LOST))
     )
 
