@@ -31,8 +31,8 @@ from strata.sources.bronze import (
     with_ingestion_partitions,
     with_payload_items,
 )
-from strata.sources.files import folder_value, scan_artifacts
-from strata.sources.silver import read_silver
+from strata.sources.files import folder_value, list_files, scan_artifacts
+from strata.sources.silver import dataset_path, read_silver
 
 RUN_KEY = rn.RUN_KEY
 MAX_ATTEMPTS = 5
@@ -302,7 +302,7 @@ def remove_unpublished(spark: SparkSession, base: str, schema: Schema, log_path:
     """Remove folders of commits that don't count: those of failed jobs, and those that later ones took the place of. Commits of jobs that
     logged nothing at or before ``before_ms`` stay, since they may be under way. The number of removed folders."""
     log = read_run_log(spark, log_path)
-    folders = _files_of(spark, schema, None, base, [COMMIT])
+    folders = _files_of(spark, schema, None, base)
     level = F.regexp_extract("folder", f"/{COMMIT}=([^/]*)$", 1).alias(COMMIT)
     keyed = folders.select("folder", level, *[folder_value(F.concat("folder", F.lit("/")), k).alias(k) for k in RUN_KEY]).distinct()
     ended = read_commits(spark, log_path).where(F.col("at_ms") <= before_ms).select(F.col("writer").alias(COMMIT)).distinct()
@@ -314,17 +314,20 @@ def remove_unpublished(spark: SparkSession, base: str, schema: Schema, log_path:
     return n
 
 
-def _files_of(spark: SparkSession, schema: Schema, runs: DataFrame | None, silver_base: str, extra: Sequence[str] = ()) -> DataFrame:
-    """The silver files of runs, or of all, written down, since they may go."""
-    path = F.col("_metadata.file_path")
+def _files_of(spark: SparkSession, schema: Schema, runs: DataFrame | None, silver_base: str) -> DataFrame:
+    """The silver files of runs, or of all, written down, since they may go. Files are listed, and no row of them is read."""
     try:
-        rows = read_silver(spark, silver_base, schema, extra_partitions=extra).select(*RUN_KEY, path.alias("file"))
-        found = (rows if runs is None else rows.join(runs.select(*RUN_KEY), list(RUN_KEY), "left_semi")).select("file").distinct()
+        found = list_files(spark, dataset_path(silver_base, schema), "*.parquet").select("path")
+        if runs is not None:
+            run_id = folder_value(F.regexp_extract("path", "^.*(/run_id=[^/]*/)", 1), "run_id")
+            found = found.withColumns({"source": F.lit(schema.source), "entity": F.lit(schema.entity), "run_id": run_id})
+            found = found.join(runs.select(*RUN_KEY).distinct(), list(RUN_KEY), "left_semi")
+        found = found.select(F.col("path").alias("file"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         found = spark.createDataFrame([], "file string")
-    folder = F.url_decode(F.regexp_replace(F.regexp_extract("file", "^(.*)/[^/]*$", 1), "\\+", "%2B"))
+    folder = F.regexp_extract("file", "^(.*)/[^/]*$", 1)
     kept = work_dir(spark, "files")
     found.select("file", folder.alias("folder")).write.parquet(kept)
     return spark.read.schema("file string, folder string").parquet(kept)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from strata.operators import runs as rn
 from strata.plans import pipeline as pl
 from strata.plans.gold import run_gold
-from strata.plans.spec import Schema, SpecError
+from strata.plans.spec import Schema, SpecError, parse_schema
 from strata.plans.workspace import work_dir
 from strata.sinks.layers import write_silver
 from strata.sources.silver import merged_silver, read_silver, register_silver
@@ -278,3 +278,19 @@ def test_retries_end_in_silver_or_dead_letters(spark, tmp_path):
     assert not list((tmp_path / "q").rglob("*.parquet"))
     assert flow.rows() == [("a", 1, 1.0, "2024-01-05"), ("b", 3, 3.0, "2024-01-05")]
     pl.retry_silver(spark, SPEC, df, *places, at_ms=5)  # nothing is left
+
+
+def test_files_of_runs_are_listed_and_not_read(spark, tmp_path):
+    """Also those without rows, of runs with odd names, below a folder that is named like a run."""
+    from strata.plans.pipeline import _files_of
+
+    base = str(tmp_path / "run_id=other" / "silver")
+    schema = parse_schema({"version": 1, "id": "x", "source": "s", "entity": "e", "silver": {"columns": [{"name": "id", "type": "int64"}]}}, strict=False)
+    for run in ("a/b", "c"):
+        write_silver(spark.sql("SELECT 1L AS id"), base, schema, run_id=run)
+    folder = f"{base}/source=s/entity=e/run_id=a%2Fb"
+    spark.sql("SELECT 1L AS id WHERE false").coalesce(1).write.mode("append").parquet(folder)
+    runs = spark.sql("SELECT 's' AS source, 'e' AS entity, 'a/b' AS run_id")
+    found = [(r.file, r.folder) for r in _files_of(spark, schema, runs, base).collect()]
+    assert len(found) == 2 and {f.removeprefix("file:") for _, f in found} == {folder}
+    assert _files_of(spark, schema, None, base).count() == 3
