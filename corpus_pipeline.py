@@ -7,6 +7,9 @@ the texts; tokens encodes what is left. All but the last return the columns that
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +28,14 @@ def _text_key() -> Column:
     return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
 
 
+def _alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `make` gives, saved. What was written on the way is removed, as nothing reads it any more."""
+    with folders_made() as made:
+        df, own = kept(make(), name)
+    remove_folders(df.sparkSession, (path for path in made if path != own))
+    return df
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below a half. The model learns from the labels of documents that are still there."""
     model, score = train(docs, table(spark, sf_dir, "labels")), free_name(docs, "_score")
@@ -36,19 +47,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     of documents with one id, or without, the first by its text stays."""
     row, rank = free_name(docs, "_row"), free_name(docs, "_rank")
     numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    groups = linked_documents(numbered.select(row, "text"), row, "text").select(row, F.col("component_id").alias("_group"))
-    ranks = numbered.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _text_key().alias("key"), row).alias(rank))
-    chosen = ranks.join(groups, row).groupBy("_group").agg(F.min(rank).alias("_first")).select(F.col(f"_first.{row}").alias(row))
-    return numbered.join(chosen, row, "left_semi").select(*docs.columns)
+
+    def chosen() -> DataFrame:
+        groups = linked_documents(numbered.select(row, "text"), row, "text").select(row, F.col("component_id").alias("_group"))
+        ranks = numbered.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _text_key().alias("key"), row).alias(rank))
+        return ranks.join(groups, row).groupBy("_group").agg(F.min(rank).alias("_first")).select(F.col(f"_first.{row}").alias(row))
+
+    return numbered.join(_alone(chosen, "chosen"), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item. What is decided about a text holds for all rows with it."""
     key = free_name(docs, "_key")
-    keyed = docs.select(_text_key().alias(key), "text")
-    found = contamination(keyed, key, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
-    hit = saved(found.where("n_hit > 0").select(key).distinct(), "contaminated")
-    return docs.withColumn(key, _text_key()).join(hit, key, "left_anti").select(*docs.columns)
+
+    def hit() -> DataFrame:
+        keyed = docs.select(_text_key().alias(key), "text")
+        found = contamination(keyed, key, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+        return found.where("n_hit > 0").select(key).distinct()
+
+    return docs.withColumn(key, _text_key()).join(_alone(hit, "contaminated"), key, "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,8 +92,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        with folders_made() as made:
-            docs, own = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        # What a stage wrote on its way is of no use to the next ones.
-        remove_folders(spark, (path for path in made if path != own))
+        docs = _alone(partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -205,11 +205,12 @@ class Encoder:
             result.append((text[1:], "".join([labels[i] for i in part])[1:], text.count(" ")))
         return result
 
-    def in_batches(self, texts: list[str] | pa.Array, size: int = 4_000_000) -> Iterator[tuple[str, str, int]]:
-        """The same for any number of texts, of about so many bytes at a time."""
+    def in_batches(self, texts: list[str] | pa.Array, size: int = 1_000_000) -> Iterator[tuple[str, str, int]]:
+        """The same for any number of texts, of about so many bytes at a time. Arrow gives back what it took for them, as a worker stays with what it once held."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         for low, high in shares(column, size):
             yield from self.encode_batch(column.slice(low, high - low))
+            pa.default_memory_pool().release_unused()
 
 
 def encoded(docs: DataFrame, key: str, text: str, path: str, with_ids: bool = False) -> DataFrame:

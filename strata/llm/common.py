@@ -41,12 +41,14 @@ _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 @contextmanager
 def folders_made() -> Iterator[list[str]]:
-    """The folders that `saved` and `kept` write meanwhile, for those who know when nothing reads them any more."""
+    """The folders that `saved` and `kept` write meanwhile, for those who know when nothing reads them any more. Who asked before learns of them, too."""
     token = _MADE.set(made := [])
     try:
         yield made
     finally:
         _MADE.reset(token)
+        if (outer := _MADE.get()) is not None:
+            outer.extend(made)
 
 
 def free_name(df: DataFrame, name: str) -> str:

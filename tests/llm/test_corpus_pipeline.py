@@ -11,7 +11,8 @@ import corpus_pipeline as cp
 import llm_data as data
 import pytest
 from oracle import compare, connect
-from strata.llm.common import saved
+from strata.llm.bpe_automaton import Encoder
+from strata.llm.common import folders_made, saved
 from strata.llm.queries import ORACLES, QUERIES, tokenizer_path
 from strata.llm.toxicity import Model, train
 from strata.plans.workspace import work_dir
@@ -138,6 +139,34 @@ def test_only_results_of_stages_stay(spark, tmp_path, monkeypatch):
     assert made == ["pipeline-first", "pipeline-second"] and other.count() == 1
 
 
+@pytest.mark.parametrize("name, lasting", [("near_duplicates", ["chosen", "numbered"]), ("decontamination", ["contaminated"])])
+def test_stages_leave_what_their_result_reads(spark, tmp_path, name, lasting):
+    """Also where a stage is called alone, as its result is written only later; who asks learns of the folders that stay."""
+    rows, labels = corpus()
+    folder = f"file://{tmp_path}"
+    docs, _ = written(spark, folder, rows, labels)
+    shared = Path(work_dir(spark, "none").removeprefix("file://")).parent
+    before = {p.name for p in shared.iterdir()} if shared.exists() else set()
+    with folders_made() as made:
+        left = dict(cp.STAGES)[name](spark, docs, folder)
+    stay = {p.name for p in shared.iterdir()} - before
+    assert sorted(p.rsplit("-", 1)[0] for p in stay) == lasting
+    assert stay <= {p.rsplit("/", 1)[-1] for p in made}
+    brute = {"near_duplicates": as_deduplicated, "decontamination": as_decontaminated}
+    assert counted(left) == Counter(brute[name](rows))
+
+
+def test_tokens_of_many_texts_by_the_megabyte(monkeypatch):
+    """What a worker needs beside its tables goes by the bytes that are encoded at once."""
+    rng, sizes, whole = random.Random(4), [], Encoder.encode_batch
+    texts = [data.prose(rng, 300) for _ in range(20)] * 140
+    encoder = Encoder(tokenizer_path("word_bpe_49k.json"))
+    alone = dict(zip(texts[:20], whole(encoder, texts[:20])))
+    monkeypatch.setattr(Encoder, "encode_batch", lambda self, part: sizes.append(sum(map(len, part.to_pylist()))) or whole(self, part))
+    assert list(encoder.in_batches(texts)) == [alone[t] for t in texts]
+    assert sum(sizes) == sum(map(len, texts)) > 4_000_000 and max(sizes) < 1_100_000
+
+
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
